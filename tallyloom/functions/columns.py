@@ -18,3 +18,8 @@ def present(*candidates: Column) -> Column:
 def empty_strings() -> Column:
     """An empty ``array<string>``."""
     return F.array().cast("array<string>")
+
+
+def whole_div(value: Column | str, divisor: int) -> Column:
+    """Integral division, exact for every bigint."""
+    return F.call_function("div", as_column(value).cast("bigint"), F.lit(divisor).cast("bigint"))
