@@ -66,11 +66,17 @@ def count_leading_zeros(value: Column | str, width: Column | int) -> Column:
     return (width - bit_length32(as_column(value))).cast("int")
 
 
-def bucket_of(hash_value: Column, precision: int) -> Column:
+def bucket_of(hash_value: Column, precision: Column | int) -> Column:
     """Register index: the low ``precision`` bits of the hash."""
-    return hash_value.bitwiseAND(F.lit((1 << precision) - 1)).cast("int")
+    if isinstance(precision, int):
+        mask = F.lit((1 << precision) - 1)
+    else:
+        mask = F.call_function("shiftleft", F.lit(1), precision) - 1
+    return hash_value.bitwiseAND(mask).cast("int")
 
 
-def rank_of(hash_value: Column, precision: int) -> Column:
+def rank_of(hash_value: Column, precision: Column | int) -> Column:
     """One more than the leading zeros of the bits above the register index."""
-    return count_leading_zeros(F.shiftright(hash_value, precision), HASH_BITS - precision) + F.lit(1)
+    precision = F.lit(precision) if isinstance(precision, int) else precision
+    above = F.call_function("shiftright", hash_value, precision)
+    return count_leading_zeros(above, F.lit(HASH_BITS) - precision) + F.lit(1)

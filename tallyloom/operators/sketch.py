@@ -17,13 +17,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyloom.functions.cardinality import (
     DEFAULT_PRECISION,
     EXACT_BYTES_PER_ELEMENT,
+    MAX_PRECISION,
+    MIN_PRECISION,
     check_precision,
     corrected_estimate,
     error_pct,
     raw_estimate,
     registers_of,
 )
-from tallyloom.functions.columns import as_column
+from tallyloom.functions.columns import as_column, empty_strings
 from tallyloom.functions.hashing import HASH_BITS, bucket_of, count_leading_zeros, hash32_sha256, rank_of
 
 
@@ -165,7 +167,7 @@ def exact_vs_estimate(
     count per bucket as well as the registers.
     """
     check_precision(precision)
-    return _exact_and_estimate(distinct_elements(df, element, by), precision, by).select(
+    return exact_and_estimate(distinct_elements(df, element, by), precision, by).select(
         *by,
         F.lit(precision).alias("precision"),
         F.col("exact").alias("actual_unique_count"),
@@ -175,12 +177,14 @@ def exact_vs_estimate(
     )
 
 
-def _exact_and_estimate(distinct: DataFrame, precision: int, by: Sequence[str]) -> DataFrame:
+def exact_and_estimate(distinct: DataFrame, precision: Column | int, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, exact, zeros, raw, estimate)`` of de-duplicated ``(*by, element)`` rows."""
+    p = F.lit(precision) if isinstance(precision, int) else precision
     hashed = distinct.select(*by, hash32_sha256("element").alias("_hash"))
     buckets = hashed.groupBy(*by, bucket_of(F.col("_hash"), precision).alias("bucket")).agg(
         F.max(rank_of(F.col("_hash"), precision)).alias("rank"), F.count(F.lit(1)).alias("elements")
     )
-    m = F.lit(1 << precision).cast("bigint")
+    m = registers_of(p)
     return (
         buckets.groupBy(*by)
         .agg(
@@ -191,6 +195,41 @@ def _exact_and_estimate(distinct: DataFrame, precision: int, by: Sequence[str])
         .withColumn("zeros", m - F.col("_filled"))
         .withColumn("raw", raw_estimate(m, F.col("_tail") + F.col("zeros")))
         .withColumn("estimate", corrected_estimate(m, F.col("raw"), F.col("zeros")))
+        .select(*by, "exact", "zeros", "raw", "estimate")
+    )
+
+
+def answer_requests(requests: DataFrame, default_precision: int = DEFAULT_PRECISION) -> DataFrame:
+    """Answer estimate requests ``request_id, elements, precision``.
+
+    Every request has its own precision, the default where it names none.
+    Requests without elements or with a precision out of range are answered by
+    ``error`` alone.
+    """
+    check_precision(default_precision)
+    asked = requests.select(
+        "request_id",
+        F.filter(F.coalesce("elements", empty_strings()), lambda item: item.isNotNull()).alias("elements"),
+        F.coalesce("precision", F.lit(default_precision)).alias("precision"),
+    ).withColumn(
+        "error",
+        F.when(F.size("elements") == 0, F.lit("Elements array cannot be empty")).when(
+            ~F.col("precision").between(MIN_PRECISION, MAX_PRECISION),
+            F.lit(f"Precision must be between {MIN_PRECISION} and {MAX_PRECISION}"),
+        ),
+    )
+    by = ["request_id", "precision"]
+    elements = asked.where(F.col("error").isNull()).select(*by, F.explode("elements").alias("element")).distinct()
+    answers = exact_and_estimate(elements, F.col("precision"), by).select(
+        *by,
+        F.lit(None).cast("string").alias("error"),
+        F.col("exact").alias("actual_unique_count"),
+        F.col("estimate").alias("estimated_count"),
+        error_pct("exact", "estimate").alias("error_percentage"),
+        registers_of("precision").alias("memory_used_bytes"),
+    )
+    return answers.unionByName(
+        asked.where(F.col("error").isNotNull()).select(*by, "error"), allowMissingColumns=True
     )
 
 
@@ -203,12 +242,12 @@ def compare_counts(
     """Exact count, Spark's two approximate counts and this sketch, side by side."""
     check_precision(precision)
     distinct = distinct_elements(df, element, by)
-    custom = _exact_and_estimate(distinct, precision, by)
+    custom = exact_and_estimate(distinct, precision, by)
     # Both approximate counts ignore repeats, so they may read the same
     # de-duplicated shuffle (Spark reuses the exchange).
     native = distinct.groupBy(*by).agg(
         F.approx_count_distinct("element").alias("native_estimate"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("element", F.lit(max(precision, 4)))).alias("datasketches_estimate"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("element", F.lit(precision))).alias("datasketches_estimate"),
     )
     columns = [*by, F.col("exact").alias("exact_count"), F.col("estimate").alias("custom_estimate")]
     if by:
@@ -348,8 +387,8 @@ def next_period_union(sketches: DataFrame, period: str, step: Column) -> DataFra
     Every sketch is offered to its own pair and to the pair that began one
     ``step`` earlier, so the merge is one grouping and needs no join.
     """
-    starts = F.explode(F.array(F.col(period), F.col(period) - step))
-    paired = sketches.withColumn("_start", starts.cast("date"))
+    starts = F.array(F.col(period), (F.col(period) - step).cast("date"))
+    paired = sketches.withColumn("_start", F.explode(starts))
     both = hll_estimate(_max_registers(paired, ["_start"]), ["_start"])
     own = sketches.select(F.col(period).alias("_start")).distinct()
     return both.join(own, "_start", "left_semi").select(

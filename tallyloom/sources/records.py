@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tallyloom.functions.cardinality import check_precision
 from tallyloom.functions.columns import as_column, whole_div
 from tallyloom.functions.hashing import hash32_md5
 
@@ -123,16 +122,3 @@ def numbered_elements(spark: SparkSession, n: int, prefix: str = "user_", start:
     return spark.range(start, start + n).select(
         F.col("id").alias("index"), F.concat(F.lit(prefix), F.col("id").cast("string")).alias("element")
     )
-
-
-def estimate_requests(df: DataFrame, default_precision: int = 14) -> DataFrame:
-    """Explode ``elements`` of estimate requests and fill in the default precision.
-
-    Requests without elements are left out, as they are rejected.
-    """
-    check_precision(default_precision)
-    return df.where(F.size("elements") > 0).select(
-        "request_id",
-        F.coalesce("precision", F.lit(default_precision)).alias("precision"),
-        F.explode("elements").alias("element"),
-    )
