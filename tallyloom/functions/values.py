@@ -23,13 +23,14 @@ WHITESPACE = (
 
 # Spark upper-cases by full case mapping, where one character may become
 # several; the invariant rule maps one to one. These are the characters where
-# the two differ, found by rule, each with its one-to-one result. The two i
-# forms and the long s, which the invariant rule leaves alone, are added.
+# the two differ, found by rule, each with its one-to-one result. The dotless i
+# and the long s, which the invariant rule leaves alone, are added.
+_UNCHANGED = "ıſ"
 _SIMPLE_UPPER = {
     c: c.title() if len(c.title()) == 1 else c
     for c in map(chr, range(0x80, 0x10000))
     if not 0xD800 <= ord(c) <= 0xDFFF and len(c.upper()) > 1
-} | {c: c for c in "ıſ"}
+} | {c: c for c in _UNCHANGED}
 _SPECIAL_CHARS = "".join(_SIMPLE_UPPER)
 _STAND_INS = "".join(chr(0x100000 + i) for i in range(len(_SIMPLE_UPPER)))
 _SPECIAL_RESULTS = "".join(_SIMPLE_UPPER.values())
@@ -41,10 +42,18 @@ def trim_whitespace(value: Column | str) -> Column:
 
 
 def upper_invariant(value: Column | str) -> Column:
-    """Upper case by one-to-one mapping, so that sharp s stays as it is."""
+    """Upper case by one-to-one mapping, so that sharp s stays as it is.
+
+    Only text that full mapping would lengthen, or that holds one of the
+    excluded letters, takes the longer way.
+    """
     value = as_column(value)
+    full = F.upper(value)
+    special = F.length(full) != F.length(value)
+    for letter in _UNCHANGED:
+        special = special | F.contains(value, F.lit(letter))
     kept = F.translate(F.upper(F.translate(value, _SPECIAL_CHARS, _STAND_INS)), _STAND_INS, _SPECIAL_RESULTS)
-    return F.when(value.rlike(f"[{_SPECIAL_CHARS}]"), kept).otherwise(F.upper(value))
+    return F.when(special, kept).otherwise(full)
 
 
 def to_utc(timestamp: Column | str, zone: str) -> Column:

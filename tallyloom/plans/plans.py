@@ -144,11 +144,11 @@ def _forecast_files(spark: SparkSession, folder: str) -> str:
     """Forecasts written as JSON arrays, one per month, with null items among them."""
     rows = _forecasts(spark, folder)
     item = F.to_json(F.struct("date", "temperature_c", "summary"))
-    arrays = rows.groupBy(F.date_trunc("month", "date").alias("month")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    arrays = rows.groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.sort_array(F.collect_list(item)).alias("items"))
     path = scratch_path(spark, "forecasts")
-    arrays.select(F.concat(F.lit("[null,"), F.array_join("items", ","), F.lit(",null]")).alias("value")).repartition(
-        "value"
-    ).write.option("lineSep", "\n").text(path)
+    text = F.concat(F.lit("[null,"), F.array_join("items", ","), F.lit(",null]"))
+    # A text partition per month gives one array per file.
+    arrays.select("month", text.alias("value")).write.partitionBy("month").text(path)
     return path
 
 

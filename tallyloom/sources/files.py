@@ -14,7 +14,7 @@ APPOINTMENT_SCHEMA = (
     "id string, patient_id string, date_time timestamp_ntz, procedure_type string, dentist_id string, status string"
 )
 ESTIMATE_REQUEST_SCHEMA = "request_id string, elements array<string>, precision int"
-FORECAST_SCHEMA = "date date, temperature_c int, summary string"
+FORECAST_SCHEMA = "date: date, temperature_c: int, summary: string"
 USER_EVENTS_SCHEMA = "event_id bigint, user_id string, event_timestamp timestamp_ntz"
 
 
@@ -39,9 +39,12 @@ def parse_json_requests(df: DataFrame, body: Column | str, schema: str) -> DataF
 
 
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Files holding one JSON array each, as rows; null items are skipped."""
-    items = spark.read.schema(schema).json(path, multiLine=True)
-    return items.where(~_all_null(items.columns))
+    """Files holding one JSON array each, as rows; null items are skipped.
+
+    An array cannot be split, so a file is read by one task.
+    """
+    items = F.explode(F.from_json("value", f"array<struct<{schema}>>")).alias("_item")
+    return spark.read.text(path, wholetext=True).select(items).where("_item is not null").select("_item.*")
 
 
 def read_json_array_stream(
@@ -51,10 +54,6 @@ def read_json_array_stream(
     return take_first(read_json_array(spark, path, schema), max_items, order_by)
 
 
-def _all_null(columns: list[str]) -> Column:
-    return F.coalesce(*[F.col(name).cast("string") for name in columns]).isNull()
-
-
 def read_dosage_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """Dosage rows from delimited files, columns by position."""
     return spark.read.schema(DOSAGE_SCHEMA).csv(path, header=header)
