@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.functions.columns import as_column
 
@@ -41,14 +41,15 @@ def trim_whitespace(value: Column | str) -> Column:
     return F.btrim(as_column(value), F.lit(WHITESPACE))
 
 
-def upper_invariant(value: Column | str) -> Column:
+def upper_invariant(value: Column | str, full: Column | None = None) -> Column:
     """Upper case by one-to-one mapping, so that sharp s stays as it is.
 
     Only text that full mapping would lengthen, or that holds one of the
-    excluded letters, takes the longer way.
+    excluded letters, takes the longer way. ``full`` may be a column that
+    already holds ``upper(value)``.
     """
     value = as_column(value)
-    full = F.upper(value)
+    full = F.upper(value) if full is None else full
     special = F.length(full) != F.length(value)
     for letter in _UNCHANGED:
         special = special | F.contains(value, F.lit(letter))
@@ -144,23 +145,33 @@ def value_text(value: Column | str) -> Column:
     )
 
 
-def transform_by_type(value: Column | str, zone: str = "UTC") -> Column:
+def transform_by_type(df: DataFrame, payload: str, output: str, zone: str = "UTC") -> DataFrame:
     """Text: trimmed and upper-cased; int: doubled; time: to UTC; else unchanged.
 
-    An int whose double does not fit is null in the ``i`` field.
+    An int whose double does not fit is null in the ``i`` field. The trimmed
+    and the upper-cased text are columns of their own, so that each is computed
+    once per row.
     """
-    value = as_column(value)
+    value = F.col(payload)
     kind = value["kind"]
-    return F.when(
-        value.isNotNull(),
-        F.struct(
-            kind.alias("kind"),
-            F.when(kind == STRING_KIND, upper_invariant(trim_whitespace(value["s"])))
-            .otherwise(value["s"])
-            .alias("s"),
-            F.when(kind == INT_KIND, F.try_multiply(value["i"], F.lit(2))).otherwise(value["i"]).alias("i"),
-            F.when(kind == DATETIME_KIND, to_utc(value["ts"], zone)).otherwise(value["ts"]).alias("ts"),
-        ),
+    return (
+        df.withColumn("_clean", F.when(kind == STRING_KIND, trim_whitespace(value["s"])))
+        .withColumn("_upper", F.upper("_clean"))
+        .withColumn(
+            output,
+            F.when(
+                value.isNotNull(),
+                F.struct(
+                    kind.alias("kind"),
+                    F.when(kind == STRING_KIND, upper_invariant("_clean", F.col("_upper")))
+                    .otherwise(value["s"])
+                    .alias("s"),
+                    F.when(kind == INT_KIND, F.try_multiply(value["i"], F.lit(2))).otherwise(value["i"]).alias("i"),
+                    F.when(kind == DATETIME_KIND, to_utc(value["ts"], zone)).otherwise(value["ts"]).alias("ts"),
+                ),
+            ),
+        )
+        .drop("_clean", "_upper")
     )
 
 

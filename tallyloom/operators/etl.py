@@ -47,7 +47,7 @@ def transform_or_keep(
 ) -> DataFrame:
     """Transform by payload type; a row that fails keeps its payload and gains an error."""
     now = F.current_timestamp() if now is None else now
-    tried = df.withColumn("_tried", transform_by_type(payload, zone))
+    tried = transform_by_type(df, payload, "_tried", zone)
     failed = transform_failed(payload, "_tried")
     return tried.select(
         "id",

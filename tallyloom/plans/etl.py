@@ -93,9 +93,8 @@ from documents
 def normalize_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Whole texts, padded with white space, trimmed and upper-cased."""
     padded = F.concat(F.lit(" \n"), F.col("text"), F.lit(" \t"))
-    return read_table(spark, folder, "documents").select(
-        "doc_id", upper_invariant(trim_whitespace(padded)).alias("normalized")
-    )
+    trimmed = read_table(spark, folder, "documents").select("doc_id", trim_whitespace(padded).alias("text"))
+    return trimmed.select("doc_id", upper_invariant("text").alias("normalized"))
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:

@@ -48,7 +48,7 @@ def sql_estimate(registers: str, precision: int, by: str = "") -> str:
       select {keys}zeros, raw,
              trunc(case when raw <= 2.5 * {m} and zeros > 0 then {m}e0 * ln({m}e0 / zeros)
                         when raw > 4294967296e0 / 30 then -4294967296e0 * ln(1 - raw / 4294967296e0)
-                        else raw end)::bigint as estimate
+                        when raw is null then 0 else raw end)::bigint as estimate
       from (select {keys}{m} - count(*) as zeros,
                    {alpha} / (sum(pow(2e0, -rank)) + {m} - count(*)) as raw
             from ({registers}) group by all)"""
