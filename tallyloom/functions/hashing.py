@@ -42,13 +42,19 @@ def _to_signed(word: Column) -> Column:
 
 def hash31_poly(value: Column | str) -> Column:
     """``31*h + unit`` over UTF-16 code units on wrapping int32, then ``abs``."""
-    units = F.regexp_extract_all(F.hex(F.encode(as_column(value).cast("string"), "UTF-16BE")), F.lit("(.{4})"))
-    wrapped = F.aggregate(
-        units,
-        F.lit(0).cast("bigint"),
-        lambda acc, unit: (acc * 31 + F.conv(unit, 16, 10).cast("bigint")).bitwiseAND(F.lit(_UINT32)),
-    )
-    return F.abs(_to_signed(wrapped))
+    mask = F.lit(_UINT32)
+
+    def add(h: Column, char: Column) -> Column:
+        point = F.ascii(char).cast("bigint")
+        beyond = point - 0x10000
+        high = F.shiftright(beyond, 10) + 0xD800
+        low = beyond.bitwiseAND(0x3FF) + 0xDC00
+        one = h * 31 + point
+        two = (h * 31 + high) * 31 + low
+        return F.when(point < 0x10000, one).otherwise(two).bitwiseAND(mask)
+
+    chars = F.filter(F.split(as_column(value).cast("string"), ""), lambda char: char != "")
+    return F.abs(_to_signed(F.aggregate(chars, F.lit(0).cast("bigint"), add)))
 
 
 def bit_length32(value: Column) -> Column:

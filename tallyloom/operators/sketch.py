@@ -202,14 +202,16 @@ def exact_and_estimate(distinct: DataFrame, precision: Column | int, by: Sequenc
 def answer_requests(requests: DataFrame, default_precision: int = DEFAULT_PRECISION) -> DataFrame:
     """Answer estimate requests ``request_id, elements, precision``.
 
-    Every request has its own precision, the default where it names none.
+    A request is one row with an id of its own, so its repeated elements are
+    dropped inside the row and nothing but registers is shuffled. Every request
+    has its own precision, the default where it names none.
     Requests without elements or with a precision out of range are answered by
     ``error`` alone.
     """
     check_precision(default_precision)
     asked = requests.select(
         "request_id",
-        F.filter(F.coalesce("elements", empty_strings()), lambda item: item.isNotNull()).alias("elements"),
+        F.array_distinct(F.array_compact(F.coalesce("elements", empty_strings()))).alias("elements"),
         F.coalesce("precision", F.lit(default_precision)).alias("precision"),
     ).withColumn(
         "error",
@@ -219,7 +221,7 @@ def answer_requests(requests: DataFrame, default_precision: int = DEFAULT_PRECIS
         ),
     )
     by = ["request_id", "precision"]
-    elements = asked.where(F.col("error").isNull()).select(*by, F.explode("elements").alias("element")).distinct()
+    elements = asked.where(F.col("error").isNull()).select(*by, F.explode("elements").alias("element"))
     answers = exact_and_estimate(elements, F.col("precision"), by).select(
         *by,
         F.lit(None).cast("string").alias("error"),

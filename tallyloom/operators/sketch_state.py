@@ -1,8 +1,8 @@
 """Persisted sketches: one row per id with a packed register array.
 
-State lives in versioned Parquet folders. Every change writes a new version
-from the old one, so a lost executor or a failed job leaves the old version
-whole.
+Each change is a new frame made from the old one. Write it (see
+``session.materialize``) before the next change is built on it: a lost executor
+or a failed job then leaves the old version whole, and plans stay short.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.cardinality import DEFAULT_PRECISION, check_precision
 from tallyloom.operators.sketch import hll_estimate, hll_merge, pack_registers, unpack_registers
+from tallyloom.session import materialize
 
 STATE_SCHEMA = (
     "hll_id int, precision int, buckets binary, created_date timestamp_ntz, last_updated_date timestamp_ntz"
@@ -50,9 +51,11 @@ def upsert_sketch(state: DataFrame, delta: DataFrame, now: Column | None = None)
 
     ``last_updated_date`` moves only where a register grew. Only sketches named
     in the delta are unpacked; the others pass through. Ids without a sketch
-    are an error, as is a different precision.
+    are an error, as is a different precision. The delta is used three times
+    and may stand for a scan of all events, so its registers are written first.
     """
     now = utc_now() if now is None else now
+    delta = materialize(delta.select(*_KEY, "precision", "bucket", "rank"), "delta")
     touched_ids = delta.select("hll_id").distinct()
     untouched = state.join(touched_ids, "hll_id", "left_anti")
     touched = state.join(touched_ids, "hll_id", "left_semi")

@@ -18,6 +18,7 @@ from tallyloom.functions.cardinality import (
 )
 from tallyloom.functions.hashing import count_leading_zeros, hash31_poly, hash32_md5, hash32_sha256
 from tallyloom.operators import sketch, sketch_state
+from tallyloom.session import materialize
 from tallyloom.sources.records import numbered_elements
 
 
@@ -218,11 +219,11 @@ def test_state_life_cycle(spark):
     users = numbered_elements(spark, 5000).withColumn("hll_id", F.lit(1))
     others = numbered_elements(spark, 5000, start=2500).withColumn("hll_id", F.lit(2))
     delta = sketch.hll_build(users.unionByName(others), "element", 12, ["hll_id"])
-    state = sketch_state.upsert_sketch(state, delta, now[1])
+    state = materialize(sketch_state.upsert_sketch(state, delta, now[1]), "state")
     again = {r["hll_id"]: r for r in sketch_state.upsert_sketch(state, delta, now[2]).collect()}
     assert str(again[1]["last_updated_date"]) == "2025-01-02 00:00:00"
     assert str(again[3]["last_updated_date"]) == "2025-01-01 00:00:00"
-    merged = sketch_state.merge_into(state, 1, 2, now[3])
+    merged = materialize(sketch_state.merge_into(state, 1, 2, now[3]), "state")
     wanted = spark.createDataFrame([(1,), (3,), (99,)], "hll_id int")
     found = {r["hll_id"]: r["estimate"] for r in sketch_state.estimate_cardinality(merged, wanted).collect()}
     assert found == {1: 7452, 3: 0, 99: 0}
