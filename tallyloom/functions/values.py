@@ -14,6 +14,8 @@ INT_KIND = "int"
 DATETIME_KIND = "datetime"
 OTHER_KIND = "other"
 
+_INT_MIN, _INT_MAX = -(1 << 31), (1 << 31) - 1
+
 # The Unicode white space characters.
 WHITESPACE = (
     "\t\n\v\f\r \u0085\u00a0\u1680"
@@ -148,12 +150,14 @@ def value_text(value: Column | str) -> Column:
 def transform_by_type(df: DataFrame, payload: str, output: str, zone: str = "UTC") -> DataFrame:
     """Text: trimmed and upper-cased; int: doubled; time: to UTC; else unchanged.
 
-    An int whose double does not fit is null in the ``i`` field. The trimmed
-    and the upper-cased text are columns of their own, so that each is computed
-    once per row.
+    An int whose double does not fit is null in the ``i`` field; a range test
+    finds it, as ``try_`` arithmetic throws and catches an exception per such
+    row. The trimmed and the upper-cased text are columns of their own, so that
+    each is computed once per row.
     """
     value = F.col(payload)
     kind = value["kind"]
+    doubled = F.when(value["i"].between(_INT_MIN // 2, _INT_MAX // 2), value["i"] * 2)
     return (
         df.withColumn("_clean", F.when(kind == STRING_KIND, trim_whitespace(value["s"])))
         .withColumn("_upper", F.upper("_clean"))
@@ -166,7 +170,7 @@ def transform_by_type(df: DataFrame, payload: str, output: str, zone: str = "UTC
                     F.when(kind == STRING_KIND, upper_invariant("_clean", F.col("_upper")))
                     .otherwise(value["s"])
                     .alias("s"),
-                    F.when(kind == INT_KIND, F.try_multiply(value["i"], F.lit(2))).otherwise(value["i"]).alias("i"),
+                    F.when(kind == INT_KIND, doubled).otherwise(value["i"]).alias("i"),
                     F.when(kind == DATETIME_KIND, to_utc(value["ts"], zone)).otherwise(value["ts"]).alias("ts"),
                 ),
             ),

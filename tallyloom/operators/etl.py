@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
@@ -152,15 +153,21 @@ class EtlJob:
 
 
 STATS_SCHEMA = (
-    "extracted_count bigint, transformed_count bigint, loaded_count bigint, error_count bigint, status string"
+    "extracted_count bigint, transformed_count bigint, loaded_count bigint, error_count bigint,"
+    " start_time timestamp, status string"
 )
 
 
 def run_with_stats(job: EtlJob) -> DataFrame:
-    """Run the job once; one row of counts taken during the load, and the status."""
+    """Run the job once; one row of counts taken during the load, start and status.
+
+    A job that fails raises its error, as nothing was counted.
+    """
+    started = datetime.now(timezone.utc)
     observation = Observation("etl")
     rows = job.results()
     job.load(observe_stats(rows, observation))
     counts = observation.get
     names = ["extracted_count", "transformed_count", "loaded_count", "error_count"]
-    return rows.sparkSession.createDataFrame([(*[counts[name] for name in names], "Completed")], STATS_SCHEMA)
+    row = (*[counts[name] for name in names], started, "Completed")
+    return rows.sparkSession.createDataFrame([row], STATS_SCHEMA)

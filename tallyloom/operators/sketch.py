@@ -37,7 +37,10 @@ def hll_build(
 ) -> DataFrame:
     """Registers of the distinct non-null ``element`` values, per ``by`` group."""
     check_precision(precision)
-    hashed = df.select(*by, hash32_sha256(element).alias("_hash")).where(F.col("_hash").isNotNull())
+    # The null test comes before the hash: a test on the hash would be pushed
+    # below the projection and compute it again.
+    elements = df.select(*by, as_column(element).alias("_element")).where(F.col("_element").isNotNull())
+    hashed = elements.select(*by, hash32_sha256("_element").alias("_hash"))
     return _max_registers(
         hashed.select(
             *by,
@@ -177,20 +180,20 @@ def exact_vs_estimate(
     )
 
 
-def exact_and_estimate(distinct: DataFrame, precision: Column | int, by: Sequence[str] = ()) -> DataFrame:
+def exact_and_estimate(distinct: DataFrame, precision: int, by: Sequence[str] = ()) -> DataFrame:
     """``(*by, exact, zeros, raw, estimate)`` of de-duplicated ``(*by, element)`` rows."""
-    p = F.lit(precision) if isinstance(precision, int) else precision
+    check_precision(precision)
     hashed = distinct.select(*by, hash32_sha256("element").alias("_hash"))
     buckets = hashed.groupBy(*by, bucket_of(F.col("_hash"), precision).alias("bucket")).agg(
         F.max(rank_of(F.col("_hash"), precision)).alias("rank"), F.count(F.lit(1)).alias("elements")
     )
-    m = registers_of(p)
+    m = F.lit(1 << precision).cast("bigint")
     return (
         buckets.groupBy(*by)
         .agg(
-            F.sum("elements").alias("exact"),
+            F.coalesce(F.sum("elements"), F.lit(0)).alias("exact"),
             F.count(F.lit(1)).alias("_filled"),
-            F.sum(F.pow(F.lit(2.0), -F.col("rank"))).alias("_tail"),
+            F.coalesce(F.sum(F.pow(F.lit(2.0), -F.col("rank"))), F.lit(0.0)).alias("_tail"),
         )
         .withColumn("zeros", m - F.col("_filled"))
         .withColumn("raw", raw_estimate(m, F.col("_tail") + F.col("zeros")))
@@ -220,18 +223,35 @@ def answer_requests(requests: DataFrame, default_precision: int = DEFAULT_PRECIS
             F.lit(f"Precision must be between {MIN_PRECISION} and {MAX_PRECISION}"),
         ),
     )
-    by = ["request_id", "precision"]
-    elements = asked.where(F.col("error").isNull()).select(*by, F.explode("elements").alias("element"))
-    answers = exact_and_estimate(elements, F.col("precision"), by).select(
-        *by,
-        F.lit(None).cast("string").alias("error"),
-        F.col("exact").alias("actual_unique_count"),
-        F.col("estimate").alias("estimated_count"),
-        error_pct("exact", "estimate").alias("error_percentage"),
-        registers_of("precision").alias("memory_used_bytes"),
+    by = ["request_id", "precision", "error"]
+    # Refused requests go along with no element, so the input is read once.
+    answered = F.when(F.col("error").isNull(), F.col("elements")).otherwise(empty_strings())
+    hashed = asked.select(*by, F.explode_outer(answered).alias("element")).select(
+        *by, hash32_sha256("element").alias("_hash")
     )
-    return answers.unionByName(
-        asked.where(F.col("error").isNotNull()).select(*by, "error"), allowMissingColumns=True
+    precision = F.col("precision")
+    buckets = hashed.groupBy(*by, bucket_of(F.col("_hash"), precision).alias("bucket")).agg(
+        F.max(rank_of(F.col("_hash"), precision)).alias("rank"), F.count("_hash").alias("elements")
+    )
+    m = registers_of(precision)
+    ok = F.col("error").isNull()
+    return (
+        buckets.groupBy(*by)
+        .agg(
+            F.sum("elements").alias("exact"),
+            F.count("bucket").alias("_filled"),
+            F.coalesce(F.sum(F.pow(F.lit(2.0), -F.col("rank"))), F.lit(0.0)).alias("_tail"),
+        )
+        .withColumn("zeros", m - F.col("_filled"))
+        .withColumn("raw", raw_estimate(m, F.col("_tail") + F.col("zeros")))
+        .withColumn("estimate", corrected_estimate(m, F.col("raw"), F.col("zeros")))
+        .select(
+            *by,
+            F.when(ok, F.col("exact")).alias("actual_unique_count"),
+            F.when(ok, F.col("estimate")).alias("estimated_count"),
+            F.when(ok, error_pct("exact", "estimate")).alias("error_percentage"),
+            F.when(ok, m).alias("memory_used_bytes"),
+        )
     )
 
 

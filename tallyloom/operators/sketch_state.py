@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.cardinality import DEFAULT_PRECISION, check_precision
-from tallyloom.operators.sketch import hll_estimate, hll_merge, pack_registers, unpack_registers
-from tallyloom.session import materialize
+from tallyloom.operators.sketch import hll_estimate, pack_registers, unpack_registers
 
 STATE_SCHEMA = (
     "hll_id int, precision int, buckets binary, created_date timestamp_ntz, last_updated_date timestamp_ntz"
@@ -46,34 +45,45 @@ def init_sketch(state: DataFrame, ids: DataFrame, precision: int = DEFAULT_PRECI
     return state.join(ids, "hll_id", "left_anti").unionByName(zeroed)
 
 
+def _cells(buckets: str) -> str:
+    return f"transform(sequence(1, length({buckets})), i -> substring({buckets}, i, 1))"
+
+
 def upsert_sketch(state: DataFrame, delta: DataFrame, now: Column | None = None) -> DataFrame:
     """Merge the long-form ``delta`` (``hll_id, precision, bucket, rank``) into ``state``.
 
-    ``last_updated_date`` moves only where a register grew. Only sketches named
-    in the delta are unpacked; the others pass through. Ids without a sketch
-    are an error, as is a different precision. The delta is used three times
-    and may stand for a scan of all events, so its registers are written first.
+    ``last_updated_date`` moves only where a register grew. State and delta are
+    read once and meet in one join; registers are compared byte by byte inside
+    the row. Ids without a sketch are an error, as is a different precision.
     """
     now = utc_now() if now is None else now
-    delta = materialize(delta.select(*_KEY, "precision", "bucket", "rank"), "delta")
-    touched_ids = delta.select("hll_id").distinct()
-    untouched = state.join(touched_ids, "hll_id", "left_anti")
-    touched = state.join(touched_ids, "hll_id", "left_semi")
-    merged = pack_registers(hll_merge([unpack_registers(touched, _KEY), delta], _KEY), _KEY)
-    joined = merged.alias("m").join(touched.alias("s"), "hll_id", "left")
-    found = F.col("s.created_date").isNotNull()
-    message = F.lit("Sketch with specified ID not found")
-    grew = F.col("m.buckets") != F.col("s.buckets")
-    updated = joined.select(
-        "hll_id",
-        F.col("m.precision").alias("precision"),
-        F.col("m.buckets").alias("buckets"),
-        F.when(found, F.col("s.created_date"))
-        .otherwise(F.raise_error(message).cast("timestamp_ntz"))
-        .alias("created_date"),
-        F.when(grew, now).otherwise(F.col("s.last_updated_date")).alias("last_updated_date"),
+    new = pack_registers(delta, _KEY).select(
+        "hll_id", F.col("precision").alias("_precision"), F.col("buckets").alias("_buckets")
+    )
+    larger = F.expr(
+        f"unhex(array_join(zip_with({_cells('buckets')}, {_cells('_buckets')}, (a, b) -> hex(greatest(a, b))), ''))"
+    )
+    found = F.col("precision").isNotNull()
+    same = F.col("_precision").isNull() | (F.col("_precision") == F.col("precision"))
+    checked = (
+        F.when(~found, F.raise_error(F.lit("Sketch with specified ID not found")).cast("int"))
+        .when(~same, F.raise_error(F.lit("Cannot merge sketches with different precisions")).cast("int"))
+        .otherwise(F.col("precision"))
+    )
+    return (
+        state.join(new, "hll_id", "full")
+        .withColumn("precision", checked)
+        .withColumn("_merged", F.when(F.col("_buckets").isNull(), F.col("buckets")).otherwise(larger))
+        .select(
+            "hll_id",
+            "precision",
+            F.col("_merged").alias("buckets"),
+            "created_date",
+            F.when(F.col("_merged") != F.col("buckets"), now).otherwise(F.col("last_updated_date")).alias(
+                "last_updated_date"
+            ),
+        )
     )
-    return untouched.unionByName(updated)
 
 
 def merge_into(state: DataFrame, target_id: int, source_id: int, now: Column | None = None) -> DataFrame:

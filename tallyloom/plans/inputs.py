@@ -179,29 +179,37 @@ def care_edges(spark: SparkSession, folder: str) -> DataFrame:
     supplier = read_table(spark, folder, "supplier")
     customer = read_table(spark, folder, "customer")
     region_of = nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
-    nations = nation.agg(F.count(F.lit(1))).first()[0]
+    nations = nation.count()
 
-    def rows(df: DataFrame, kind: int, key: str, src: Column, edge_type: str, dst: Column) -> DataFrame:
-        return df.select(
+    def edge(kind: int, key: str, src: Column, edge_type: str, dst: Column) -> Column:
+        return F.struct(
             (F.col(key).cast("bigint") * _EDGE_KINDS + kind).alias("edge_id"),
             src.alias("src"),
             dst.alias("dst"),
             F.lit(edge_type).alias("type"),
         )
 
-    here = _node_id(_NATION, "n_nationkey")
-    region = _node_id(_REGION, "n_regionkey")
+    def rows(df: DataFrame, *edges: Column) -> DataFrame:
+        return df.select(F.explode(F.array(*edges)).alias("_edge")).select("_edge.*")
+
+    here, clinic = _node_id(_NATION, "n_nationkey"), _node_id(_CUSTOMER, "c_custkey")
+    region, group = _node_id(_REGION, "n_regionkey"), _node_id(_SUPPLIER, "s_suppkey")
     neighbour = F.pmod(F.col("n_nationkey").cast("bigint") + 1, F.lit(nations)) * _KINDS + _NATION
     return merge_streams(
-        rows(nation, 0, "n_nationkey", region, "OPERATES", here),
-        rows(nation, 1, "n_nationkey", here, "PRIVILEGES_AT", region),
-        rows(nation, 2, "n_nationkey", here, "CONTRACTS_WITH", region),
-        rows(nation, 3, "n_nationkey", here, "REFERS_TO", neighbour),
-        rows(customer, 4, "c_custkey", _node_id(_NATION, "c_nationkey"), "OPERATES", _node_id(_CUSTOMER, "c_custkey")),
-        rows(supplier, 5, "s_suppkey", _node_id(_SUPPLIER, "s_suppkey"), "MEMBER_OF", _node_id(_NATION, "s_nationkey")),
         rows(
-            supplier.join(region_of, "s_nationkey"), 6, "s_suppkey",
-            _node_id(_SUPPLIER, "s_suppkey"), "PURCHASES_FROM", region,
+            nation,
+            edge(0, "n_nationkey", region, "OPERATES", here),
+            edge(1, "n_nationkey", here, "PRIVILEGES_AT", region),
+            edge(2, "n_nationkey", here, "CONTRACTS_WITH", region),
+            edge(3, "n_nationkey", here, "REFERS_TO", neighbour),
+        ),
+        customer.select(edge(4, "c_custkey", _node_id(_NATION, "c_nationkey"), "OPERATES", clinic).alias("_edge")).select(
+            "_edge.*"
+        ),
+        rows(
+            supplier.join(region_of, "s_nationkey"),
+            edge(5, "s_suppkey", group, "MEMBER_OF", _node_id(_NATION, "s_nationkey")),
+            edge(6, "s_suppkey", group, "PURCHASES_FROM", region),
         ),
     )
 

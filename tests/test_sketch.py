@@ -252,6 +252,11 @@ def test_nulls_are_not_elements(spark):
     assert sketch.exact_vs_estimate(rows, "element", 12).first()["actual_unique_count"] == 2
 
 
+def test_empty_input(spark):
+    row = sketch.exact_vs_estimate(numbered_elements(spark, 0), "element", 12).first()
+    assert (row["actual_unique_count"], row["estimated_count"], row["error_percentage"]) == (0, 0, None)
+
+
 def test_hot_group_ships_registers_not_rows(spark):
     """A group with most rows is combined before the shuffle."""
     rows = spark.range(50_000).select(
