@@ -116,9 +116,18 @@ def dosage_form_labels(spark: SparkSession, folder: str) -> DataFrame:
     return keyed.groupBy("dosage_form", "label", "restored").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+def _parts_sql(text: str) -> str:
+    """How many of words, word pairs and character triples a text has."""
+    return f"(1 + (contains({text}, ' '))::integer + (length({text}) >= 3)::integer)"
+
+
+@query(f"""
+select ndc11, 2304 as dimensions,
+       ({_parts_sql('drug_name')} + {_parts_sql('strength')} + {_parts_sql('route')})::double as squared_length
+from ({DOSAGES_SQL})
+""")
 def dosage_text_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Length and squared length of the joined text features of every row."""
+    """Dimensions and squared length of the joined text features: one for each part a text has."""
     rows = dosages(spark, folder)
     stages = [stage for column in dosage_model.TEXT_COLUMNS for stage in dosage_model.featurize_text(column, 1 << 8)]
     features = Pipeline(stages=[*stages, dosage_model.concat_features()]).fit(rows).transform(rows)
