@@ -271,14 +271,13 @@ def compare_counts(
         F.approx_count_distinct("element").alias("native_estimate"),
         F.hll_sketch_estimate(F.hll_sketch_agg("element", F.lit(precision))).alias("datasketches_estimate"),
     )
-    columns = [*by, F.col("exact").alias("exact_count"), F.col("estimate").alias("custom_estimate")]
-    if by:
-        joined = custom.select(*columns).join(native, list(by))
-    else:
-        joined = custom.select(F.lit(0).alias("_one"), *columns).join(
-            native.withColumn("_one", F.lit(0)), "_one"
-        ).drop("_one")
-    return joined.select(*by, "exact_count", "native_estimate", "datasketches_estimate", "custom_estimate")
+    counts = custom.select(*by, F.col("exact").alias("exact_count"), F.col("estimate").alias("custom_estimate"))
+    names = ["exact_count", "native_estimate", "datasketches_estimate", "custom_estimate"]
+    return (
+        counts.unionByName(native, allowMissingColumns=True)
+        .groupBy(*by)
+        .agg(*[F.max(name).alias(name) for name in names])
+    )
 
 
 def precision_sweep(

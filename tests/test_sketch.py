@@ -252,6 +252,18 @@ def test_nulls_are_not_elements(spark):
     assert sketch.exact_vs_estimate(rows, "element", 12).first()["actual_unique_count"] == 2
 
 
+def test_compared_counts(spark):
+    rows = numbered_elements(spark, 20_000).withColumn("g", F.when(F.col("index") % 3 == 0, "a"))
+    whole = sketch.compare_counts(rows, "element", 14)
+    assert "NestedLoop" not in whole._jdf.queryExecution().executedPlan().toString()
+    row = whole.first()
+    assert row["exact_count"] == 20_000
+    for name in ("native_estimate", "datasketches_estimate", "custom_estimate"):
+        assert abs(row[name] - 20_000) < 3_000
+    by_group = {r["g"]: r["exact_count"] for r in sketch.compare_counts(rows, "element", 14, ["g"]).collect()}
+    assert by_group == {"a": 6667, None: 13_333}
+
+
 def test_empty_input(spark):
     row = sketch.exact_vs_estimate(numbered_elements(spark, 0), "element", 12).first()
     assert (row["actual_unique_count"], row["estimated_count"], row["error_percentage"]) == (0, 0, None)

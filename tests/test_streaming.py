@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tallyloom.session import scratch_path
 from tallyloom.sources.records import numbered_elements
 from tallyloom.streaming import flows
 from tallyloom.streaming.jobs import (
+    ProgressRecorder,
     StreamJob,
     file_stream,
     folder_writer,
@@ -126,6 +128,25 @@ def test_progress_and_status(spark):
     assert [r["status"] for r in job.statuses(spark).collect()] == ["Running", "Completed"]
 
 
+def test_recorder_sees_every_micro_batch(spark):
+    _, stream = as_stream(spark, spark.range(1000), files=5, max_files=1)
+    recorder = ProgressRecorder("long", 1000)
+    spark.streams.addListener(recorder)
+    try:
+        write_batches(stream, folder_writer(scratch_path(spark, "p")), scratch_path(spark, "ck")).awaitTermination()
+        for _ in range(100):
+            if recorder.finished:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(recorder)
+    table = scratch_path(spark, "progress")
+    assert recorder.append_to(spark, table) >= 7 and recorder.append_to(spark, table) == 0
+    rows = spark.read.parquet(table)
+    assert rows.agg(F.max("processed_items")).first()[0] == 1000
+    assert rows.where("status = 'Completed'").count() == 1 and rows.where("batch_id is not null").count() >= 5
+
+
 def test_failed_and_cancelled_jobs(spark):
     _, stream = as_stream(spark, spark.range(10))
 
