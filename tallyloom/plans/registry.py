@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Run = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ("sketches", "etl", "batches", "graphs", "dosages", "workflows", "plans", "streams")
+_MODULES = ("sketches", "etl", "batches", "graphs", "dosages", "workflows", "care", "streams")
 _QUERIES: dict[str, Query] = {}
 
 
