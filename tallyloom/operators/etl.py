@@ -98,8 +98,8 @@ def load_result_log(
     """
     now = F.current_timestamp() if now is None else now
     object_id = stable_id("id") if object_id is None else object_id
-    loaded = F.size("validation_errors") == 0
-    return results.select(
+    loaded = F.col("_loaded")
+    return results.withColumn("_loaded", F.size("validation_errors") == 0).select(
         stable_id(F.lit("load"), F.col("id")).alias("id"),
         F.col("id").alias("transformation_id"),
         loaded.alias("success"),
