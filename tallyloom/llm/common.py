@@ -6,7 +6,7 @@ import os
 from collections.abc import Iterator
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,18 @@ def tokenizer_path(name: str, folder: str | None = None) -> str:
     return os.path.join(folder, name) if folder else public_tokenizers.path(name)
 
 
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table; Python workers are told where this package lies, as the driver may have found it by its own path.
+
+    Where executors don't share that place, ship the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
 def whole_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text only, so that other columns can neither clash nor be read; a null text is empty."""
     return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))

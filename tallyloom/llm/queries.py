@@ -8,40 +8,84 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_bpe import encode_digests
+from tallyloom.llm.common import read_table
 from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.pii import BASE_KINDS as PII_KINDS
+from tallyloom.llm.pii import find_personal_data
+from tallyloom.llm.secret_scan import BASE_KINDS as SECRET_KINDS
+from tallyloom.llm.secret_scan import find_secrets
+from tallyloom.llm.simhash import near_duplicates
+from tallyloom.llm.spans import count_of, joined, of_kinds
 from tallyloom.llm.token_count import token_counts
 from tallyloom.llm.token_files import read_token_files, token_checksums, write_token_files
+from tallyloom.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 from tallyloom.session import scratch_path
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     path = scratch_path(spark, "token-files")
-    write_token_files(table(spark, folder, "documents"), path)
+    write_token_files(read_table(spark, folder, "documents"), path)
     return token_checksums(read_token_files(spark, path))
 
 
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in all documents; a phone number that the base pattern fails to cut out of its neighbours is added to the base ones."""
+    found = find_personal_data(read_table(spark, folder, "documents"), base_flag=True)
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *[count_of(base, kind).alias(f"n_{kind}") for kind in PII_KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents."""
+    found = find_secrets(read_table(spark, folder, "documents"))
+    base = of_kinds(F.col("spans"), *SECRET_KINDS)
+    return found.select(
+        "doc_id",
+        *[count_of(base, kind).alias(f"n_{kind}") for kind in SECRET_KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens."""
-    pieces = pack_documents(table(spark, folder, "documents"))
+    pieces = pack_documents(read_table(spark, folder, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents by a model from the labels that aren't held out."""
+    docs = read_table(spark, folder, "documents")
+    model = fit_toxicity(docs, read_table(spark, folder, "labels"), ~is_held_out())
+    scored = score_toxicity(docs, model)
+    return scored.select("doc_id", is_held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents by fingerprints of four-word shingles."""
+    found = near_duplicates(read_table(spark, folder, "documents"), words=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all documents."""
-    return token_counts(table(spark, folder, "documents"))
+    return token_counts(read_table(spark, folder, "documents"))
 
 
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded again."""
-    return encode_digests(table(spark, folder, "documents"))
+    return encode_digests(read_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_token_files, op5_packing, op8_token_counts, op10_byte_bpe)
+    query.__name__: query for query in (
+        op1_token_files, op2_personal_data, op4_secrets, op5_packing, op7_toxicity, op8_token_counts, op9_simhash, op10_byte_bpe,
+    )
 }
 SQL: dict[str, str] = {}
