@@ -32,6 +32,11 @@ def whole_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
 
 
+def renewed(df: DataFrame) -> DataFrame:
+    """The same columns under new references, so that a table can meet itself."""
+    return df.select(*[F.col(f"`{name}`").alias(name) for name in df.columns])
+
+
 def text_blocks(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of about ``chars`` characters together, one text at least."""
     start = size = 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.byte_bpe import encode_digests
 from tallyloom.llm.common import read_table
+from tallyloom.llm.cover_tree import similar_vectors
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.pii import BASE_KINDS as PII_KINDS
 from tallyloom.llm.pii import find_personal_data
@@ -18,6 +19,7 @@ from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.spans import count_of, joined, of_kinds
 from tallyloom.llm.token_count import token_counts
 from tallyloom.llm.token_files import read_token_files, token_checksums, write_token_files
+from tallyloom.llm.top_scores import exact_top_k
 from tallyloom.llm.toxicity import fit_toxicity, is_held_out, score_toxicity
 from tallyloom.session import scratch_path
 
@@ -41,6 +43,26 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_top_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best other vectors of every fiftieth vector."""
+    return exact_top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP3_SQL = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+    from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id
+)
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 5
+"""
+
+
 def op4_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents."""
     found = find_secrets(read_table(spark, folder, "documents"))
@@ -59,6 +81,33 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
 
 
+def op6_cover_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among the vectors of each label."""
+    found = similar_vectors(read_table(spark, folder, "embeddings"))
+    return found.select("vec_id", "n_links", F.col("component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+OP6_SQL = """
+with recursive v as (
+    select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b
+    from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.93
+),
+reach(vec_id, other) as (
+    select vec_id, vec_id from embeddings
+    union
+    select r.vec_id, l.b from reach r join links l on r.other = l.a
+),
+roots as (select vec_id, min(other) as component_id from reach group by vec_id)
+select vec_id, (select count(*) from links where a = roots.vec_id) as n_links, component_id, vec_id = component_id as kept
+from roots
+"""
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents by a model from the labels that aren't held out."""
     docs = read_table(spark, folder, "documents")
@@ -85,7 +134,7 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_token_files, op2_personal_data, op4_secrets, op5_packing, op7_toxicity, op8_token_counts, op9_simhash, op10_byte_bpe,
+        op1_token_files, op2_personal_data, op3_top_scores, op4_secrets, op5_packing, op6_cover_tree, op7_toxicity, op8_token_counts, op9_simhash, op10_byte_bpe,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_top_scores": OP3_SQL, "op6_cover_tree": OP6_SQL}
