@@ -30,6 +30,14 @@ def hash32_sha256(value: Column | str) -> Column:
     return byte_swap32(_first_word(F.sha2(as_column(value).cast("string"), 256)))
 
 
+def hash64_sha256(value: Column | str) -> Column:
+    """Little-endian first eight bytes of SHA-256 over UTF-8, as the bits of a bigint; null stays null."""
+    digest = F.sha2(as_column(value).cast("string"), 256)
+    low = byte_swap32(_first_word(digest))
+    high = byte_swap32(F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint"))
+    return F.shiftleft(high, 32).bitwiseOR(low)
+
+
 def hash32_md5(value: Column | str, signed: bool = True) -> Column:
     """Big-endian first word of MD5 over UTF-16LE, as signed int32 by default."""
     word = _first_word(F.md5(F.encode(as_column(value).cast("string"), "UTF-16LE")))
@@ -66,6 +74,12 @@ def bit_length32(value: Column) -> Column:
     return (F.floor(F.log2(value + F.lit(0.5))) + 1).cast("int")
 
 
+def bit_length64(value: Column) -> Column:
+    """Number of significant bits of 64 (0 for 0), from its two 32-bit words, which doubles hold exactly."""
+    high = F.shiftrightunsigned(value, 32)
+    return F.when(high > 0, bit_length32(high) + 32).otherwise(bit_length32(value.bitwiseAND(_UINT32)))
+
+
 def count_leading_zeros(value: Column | str, width: Column | int) -> Column:
     """Leading zero bits of ``value`` in a ``width``-bit window; ``width`` for 0."""
     width = F.lit(width) if isinstance(width, int) else width
@@ -81,8 +95,12 @@ def bucket_of(hash_value: Column, precision: Column | int) -> Column:
     return hash_value.bitwiseAND(mask).cast("int")
 
 
-def rank_of(hash_value: Column, precision: Column | int) -> Column:
+def rank_of(hash_value: Column, precision: Column | int, hash_bits: int = HASH_BITS) -> Column:
     """One more than the leading zeros of the bits above the register index."""
+    if hash_bits == 64:
+        precision = F.lit(precision) if isinstance(precision, int) else precision
+        above = F.call_function("shiftrightunsigned", hash_value, precision)
+        return (F.lit(64) - precision - bit_length64(above) + F.lit(1)).cast("int")
     precision = F.lit(precision) if isinstance(precision, int) else precision
     above = F.call_function("shiftright", hash_value, precision)
     return count_leading_zeros(above, F.lit(HASH_BITS) - precision) + F.lit(1)

@@ -26,7 +26,29 @@ from tallyloom.functions.cardinality import (
     registers_of,
 )
 from tallyloom.functions.columns import as_column, empty_strings
-from tallyloom.functions.hashing import HASH_BITS, bucket_of, count_leading_zeros, hash32_sha256, rank_of
+from tallyloom.functions.hashing import (
+    HASH_BITS,
+    bucket_of,
+    count_leading_zeros,
+    hash32_md5,
+    hash32_sha256,
+    hash64_sha256,
+    rank_of,
+)
+
+#: Hashes of sketches, each with its bits. Sketches of different hashes must not be merged; keep the name beside stored ones.
+HASHES = {
+    "sha256": (hash32_sha256, 32),
+    "sha256_64": (hash64_sha256, 64),
+    "md5": (lambda value: hash32_md5(value, signed=False), 32),
+}
+
+
+def hash_bits_of(hash_name: str) -> int:
+    """Bits of a hash of :data:`HASHES`."""
+    if hash_name not in HASHES:
+        raise ValueError(f"hash must be one of {sorted(HASHES)}")
+    return HASHES[hash_name][1]
 
 
 def hll_build(
@@ -34,19 +56,25 @@ def hll_build(
     element: Column | str,
     precision: int = DEFAULT_PRECISION,
     by: Sequence[str] = (),
+    hash_name: str = "sha256",
 ) -> DataFrame:
-    """Registers of the distinct non-null ``element`` values, per ``by`` group."""
+    """Registers of the distinct non-null ``element`` values, per ``by`` group.
+
+    ``hash_name`` is one of :data:`HASHES`: 32-bit hashes answer up to about four billion distinct values,
+    ``sha256_64`` is the choice for larger tables. Estimate with the same name.
+    """
     check_precision(precision)
+    bits = hash_bits_of(hash_name)
     # The null test comes before the hash: a test on the hash would be pushed
     # below the projection and compute it again.
     elements = df.select(*by, as_column(element).alias("_element")).where(F.col("_element").isNotNull())
-    hashed = elements.select(*by, hash32_sha256("_element").alias("_hash"))
+    hashed = elements.select(*by, HASHES[hash_name][0]("_element").alias("_hash"))
     return _max_registers(
         hashed.select(
             *by,
             F.lit(precision).alias("precision"),
             bucket_of(F.col("_hash"), precision).alias("bucket"),
-            rank_of(F.col("_hash"), precision).cast("int").alias("rank"),
+            rank_of(F.col("_hash"), precision, bits).cast("int").alias("rank"),
         ),
         by,
     )
@@ -56,23 +84,29 @@ def _max_registers(registers: DataFrame, by: Sequence[str]) -> DataFrame:
     return registers.groupBy(*by, "precision", "bucket").agg(F.max("rank").alias("rank"))
 
 
-def hll_estimate(sketch: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+MIXED_MESSAGE = "Cannot merge sketches with different precisions"
+
+
+def hll_estimate(sketch: DataFrame, by: Sequence[str] = (), hash_name: str = "sha256") -> DataFrame:
     """``(*by, precision, zeros, raw, estimate)`` of every sketch.
 
-    Without ``by`` there is one row even when the sketch has none, with
-    estimate 0.
+    Where the sketch is grouped more finely than ``by``, its registers are merged first. Groups of mixed precision
+    fail the job. Without ``by`` there is one row even when the sketch has none, with estimate 0.
     """
+    bits = hash_bits_of(hash_name)
+    if set(sketch.columns) - {*by, "precision", "bucket", "rank"}:
+        sketch = _max_registers(sketch, by)
     filled = F.col("rank") > 0
-    keys = [*by, "precision"] if by else []
     sums = [
         F.count_if(filled).alias("_filled"),
         F.sum(F.when(filled, F.pow(F.lit(2.0), -F.col("rank"))).otherwise(F.lit(0.0))).alias("_tail"),
     ]
-    if not by:
-        sums.append(F.max("precision").alias("precision"))
+    one = F.min("precision") == F.max("precision")
+    refused = F.when(F.count("precision") > 0, F.raise_error(F.lit(MIXED_MESSAGE)).cast("int"))
+    sums.append(F.when(one, F.max("precision")).otherwise(refused).alias("precision"))
     m = registers_of("precision")
     return (
-        sketch.groupBy(*keys)
+        sketch.groupBy(*by)
         .agg(*sums)
         .withColumn("zeros", m - F.col("_filled"))
         .withColumn("raw", raw_estimate(m, F.col("_tail") + F.col("zeros")))
@@ -81,7 +115,7 @@ def hll_estimate(sketch: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             "precision",
             "zeros",
             "raw",
-            F.coalesce(corrected_estimate(m, F.col("raw"), F.col("zeros")), F.lit(0)).alias("estimate"),
+            F.coalesce(corrected_estimate(m, F.col("raw"), F.col("zeros"), bits), F.lit(0)).alias("estimate"),
         )
     )
 
@@ -95,7 +129,7 @@ def hll_merge(sketches: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFram
     # At most 2^precision rows per group and precision reach this window.
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     same = F.min("precision").over(group) == F.max("precision").over(group)
-    message = F.lit("Cannot merge sketches with different precisions")
+    message = F.lit(MIXED_MESSAGE)
     return merged.withColumn(
         "precision", F.when(same, F.col("precision")).otherwise(F.raise_error(message).cast("int"))
     ).select(*columns)
@@ -104,10 +138,11 @@ def hll_merge(sketches: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFram
 def hll_rollup(sketch: DataFrame, to: Mapping[str, Column]) -> DataFrame:
     """Sketches of coarser groups from finer ones, without rescanning the events.
 
-    ``to`` maps each coarse grouping column to an expression over the fine ones.
+    ``to`` maps each coarse grouping column to an expression over the fine ones. A coarse group whose sketches
+    differ in precision fails the job.
     """
     coarse = sketch.select(*[expr.alias(name) for name, expr in to.items()], "precision", "bucket", "rank")
-    return _max_registers(coarse, list(to))
+    return hll_merge([coarse], list(to))
 
 
 def hll_clear(sketch: DataFrame, by: Sequence[str], cleared: DataFrame) -> DataFrame:
@@ -410,7 +445,7 @@ def next_period_union(sketches: DataFrame, period: str, step: Column) -> DataFra
     """
     starts = F.array(F.col(period), (F.col(period) - step).cast("date"))
     paired = sketches.withColumn("_start", F.explode(starts))
-    both = hll_estimate(_max_registers(paired, ["_start"]), ["_start"])
+    both = hll_estimate(hll_merge([paired], ["_start"]), ["_start"])
     own = sketches.select(F.col(period).alias("_start")).distinct()
     return both.join(own, "_start", "left_semi").select(
         F.col("_start").alias(period), F.col("estimate").alias("unique_visitors")

@@ -63,6 +63,54 @@ def hll_registers_by_kind(spark: SparkSession, folder: str) -> DataFrame:
     return built.select("kind", "bucket", "rank")
 
 
+def sql_hash64(element: str) -> str:
+    """The 64-bit hash of a text expression, in SQL."""
+    digest = f"sha256({element})"
+    swapped = " || ".join(f"substr({digest}, {at}, 2)" for at in (15, 13, 11, 9, 7, 5, 3, 1))
+    return f"('0x' || {swapped})::ubigint"
+
+
+@query("""
+select l_returnflag, bucket::integer as bucket, max(case when above = 0 then 51 else 51 - length(bin(above)) end)::integer as rank
+from (select l_returnflag, h & 16383 as bucket, h >> 14 as above
+      from (select l_returnflag, """ + sql_hash64("l_orderkey::varchar") + """ as h from lineitem))
+group by all
+""")
+def hll_registers_of_64_bits(spark: SparkSession, folder: str) -> DataFrame:
+    """Registers of the 64-bit hash, which has no upper range, for the orders behind each return flag."""
+    lines = read_table(spark, folder, "lineitem")
+    built = sketch.hll_build(lines, "l_orderkey", 14, ["l_returnflag"], "sha256_64")
+    return built.select("l_returnflag", "bucket", "rank")
+
+
+@query(f"""
+with registers as (
+    select bucket, max(rank) as rank from (
+        select h & 16383 as bucket, case when h >> 14 = 0 then 51 else 51 - length(bin(h >> 14)) end as rank
+        from (select {sql_hash64("l_orderkey::varchar")} as h from lineitem)) group by 1),
+sums as (select 16384 - count(*) as zeros,
+                (0.7213e0 / (1.0e0 + 1.079e0 / 16384) * 16384e0 * 16384e0) / (sum(pow(2e0, -rank)) + 16384 - count(*)) as raw from registers)
+select zeros, trunc(case when raw <= 2.5 * 16384 and zeros > 0 then 16384e0 * ln(16384e0 / zeros) else raw end)::bigint as estimate from sums
+""")
+def hll_estimate_of_64_bits(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders over all line items, from the sketches per return flag, merged on the way."""
+    built = sketch.hll_build(read_table(spark, folder, "lineitem"), "l_orderkey", 14, ["l_returnflag"], "sha256_64")
+    return sketch.hll_estimate(built, hash_name="sha256_64").select("zeros", "estimate")
+
+
+@query("""
+select o_orderstatus, bucket::integer as bucket, max(case when above = 0 then 21 else 21 - length(bin(above)) end)::integer as rank
+from (select o_orderstatus, h & 4095 as bucket, h >> 12 as above
+      from (select o_orderstatus, ('0x' || substr(md5(from_hex(array_to_string(
+                list_transform(string_split(o_custkey::varchar, ''), lambda c: '3' || c || '00'), ''))), 1, 8))::bigint as h from orders))
+group by all
+""")
+def hll_registers_of_md5(spark: SparkSession, folder: str) -> DataFrame:
+    """Registers of the MD5 hash, for sketches that are stored with it; digits in UTF-16 are 3x00."""
+    built = sketch.hll_build(read_table(spark, folder, "orders"), "o_custkey", 12, ["o_orderstatus"], "md5")
+    return built.select("o_orderstatus", "bucket", "rank")
+
+
 STATUS_EVENTS = "(select o_custkey::varchar as user_id, o_orderstatus from orders)"
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,14 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     A cluster must name a shared folder there: executors write to it and may
     be lost afterwards. Only a local master may fall back to a temporary
-    folder of this machine.
+    folder of this machine, which goes when the program ends.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="tallyloom-")
-        spark.conf.set(CHECKPOINT_CONF, root)
+        made = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, made, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(made)
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -12,6 +12,6 @@ def spark(tmp_path_factory):
     session = local_session(8, "tallyloom-tests")
     session.sparkContext.setLogLevel("OFF")
     if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("scratch")))
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()

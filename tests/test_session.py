@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from types import SimpleNamespace
 
 import pytest
@@ -33,3 +36,19 @@ def test_written_tables_keep_rows_and_schema(spark):
     rows = spark.range(100).selectExpr("id", "CASE WHEN id % 2 = 0 THEN id END AS even")
     written = materialize(rows, "rows")
     assert written.dtypes == rows.dtypes and written.exceptAll(rows).isEmpty() and written.count() == 100
+
+
+def test_a_plain_local_session_has_scratch(tmp_path):
+    """Without any Spark defaults a local session writes below a folder of its own, which goes with it."""
+    code = (
+        "from tallyloom.session import local_session, materialize, scratch_path\n"
+        "spark = local_session(1)\n"
+        "assert spark.conf.get('spark.checkpoint.dir', None) is None\n"
+        "assert materialize(spark.range(3), 'rows').count() == 3\n"
+        "print('ROOT', scratch_path(spark, 'x').rpartition('/')[0].removeprefix('file:'))\n"
+    )
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "TMPDIR": str(tmp_path)}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr
+    root = done.stdout.rpartition("ROOT ")[2].strip()
+    assert root.startswith(str(tmp_path)) and not os.path.exists(root)

@@ -276,3 +276,51 @@ def test_hot_group_ships_registers_not_rows(spark):
     )
     plan = sketch.hll_build(rows, "element", 6, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max") > plan.index("Exchange") and "BatchEvalPython" not in plan
+
+
+def long_form(spark, rows):
+    return spark.createDataFrame(rows, "g string, precision int, bucket int, rank int")
+
+
+def test_a_saturated_sketch_is_refused_and_not_empty(spark):
+    full = long_form(spark, [("a", 4, bucket, 29) for bucket in range(16)])
+    with pytest.raises(Exception, match="beyond the range"):
+        sketch.hll_estimate(full, ["g"]).collect()
+    assert sketch.hll_estimate(full, ["g"], "sha256_64").first()["estimate"] > 4e9
+    higher = long_form(spark, [("a", 4, bucket, 56) for bucket in range(16)])
+    assert sketch.hll_estimate(higher, ["g"], "sha256_64").first()["estimate"] > 1e18
+
+
+def test_an_estimate_over_all_groups_merges_first(spark):
+    rows = numbered_elements(spark, 3000).withColumn("g", (F.col("index") % 3).cast("string"))
+    grouped = sketch.hll_build(rows, "element", 14, ["g"])
+    whole = sketch.hll_build(rows, "element", 14)
+    assert sketch.hll_estimate(grouped).first()["estimate"] == sketch.hll_estimate(whole).first()["estimate"]
+
+
+def test_mixed_precisions_are_refused(spark):
+    mixed = long_form(spark, [("a", 4, 0, 1), ("b", 5, 0, 1)])
+    for run in (
+        lambda: sketch.hll_estimate(mixed).collect(),
+        lambda: sketch.hll_estimate(mixed.withColumn("g", F.lit("x")), ["g"]).collect(),
+        lambda: sketch.hll_rollup(mixed, {"all": F.lit(1)}).collect(),
+    ):
+        with pytest.raises(Exception, match="different precisions"):
+            run()
+    assert sketch.hll_estimate(mixed, ["g"]).count() == 2
+    with pytest.raises(ValueError):
+        sketch.hll_build(mixed, "g", 4, hash_name="crc")
+
+
+def test_hash_of_64_bits(spark):
+    from tallyloom.functions.hashing import bit_length64, hash64_sha256
+
+    texts = ["", "a", "user_1", "zürich"]
+    got = [row[0] for row in spark.createDataFrame([(text,) for text in texts], "t string").select(hash64_sha256("t")).collect()]
+    assert got == [int.from_bytes(hashlib.sha256(text.encode()).digest()[:8], "little", signed=True) for text in texts]
+    values = [0, 1, 2, (1 << 31) - 1, 1 << 31, (1 << 32) - 1, 1 << 32, (1 << 53) + 1, (1 << 63) - 1, -1, -(1 << 63)]
+    found = spark.createDataFrame([(v,) for v in values], "v bigint").select(bit_length64(F.col("v"))).collect()
+    assert [row[0] for row in found] == [(v & ((1 << 64) - 1)).bit_length() for v in values]
+    rows = numbered_elements(spark, 100_000)
+    estimate = sketch.hll_estimate(sketch.hll_build(rows, "element", 14, hash_name="sha256_64"), hash_name="sha256_64").first()["estimate"]
+    assert abs(estimate - 100_000) < 2_000
