@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tallyloom.functions.columns import as_column, empty_strings
 from tallyloom.functions.values import (
@@ -130,7 +130,7 @@ def observe_stats(results: DataFrame, observation: Observation) -> DataFrame:
     return results.observe(
         observation,
         F.count(F.lit(1)).alias("extracted_count"),
-        F.count_if(F.col("transformed_data").isNotNull()).alias("transformed_count"),
+        F.count_if(F.col("transformed_data").isNotNull() & ~invalid).alias("transformed_count"),
         F.count_if(~invalid).alias("loaded_count"),
         F.count_if(invalid).alias("error_count"),
     )
@@ -158,16 +158,23 @@ STATS_SCHEMA = (
 )
 
 
-def run_with_stats(job: EtlJob) -> DataFrame:
+def run_with_stats(job: EtlJob, cancelled: Callable[[], bool] = lambda: False) -> DataFrame:
     """Run the job once; one row of counts taken during the load, start and status.
 
-    A job that fails raises its error, as nothing was counted.
+    The status is ``Completed``, ``Failed`` if source, step or load raised an error, or ``Cancelled`` if ``cancelled`` says so before
+    the load or after it broke off (as ``SparkContext.cancelJobGroup`` makes it do). Without a finished load there are no counts.
+    Failed rows keep their payload and count as errors, not as transformed.
     """
     started = datetime.now(timezone.utc)
     observation = Observation("etl")
-    rows = job.results()
-    job.load(observe_stats(rows, observation))
-    counts = observation.get
     names = ["extracted_count", "transformed_count", "loaded_count", "error_count"]
-    row = (*[counts[name] for name in names], started, "Completed")
-    return rows.sparkSession.createDataFrame([row], STATS_SCHEMA)
+    counts: dict[str, int | None] = dict.fromkeys(names)
+    status = "Cancelled"
+    if not cancelled():
+        try:
+            job.load(observe_stats(job.results(), observation))
+            counts, status = observation.get, "Completed"
+        except Exception:
+            status = "Cancelled" if cancelled() else "Failed"
+    row = (*[counts[name] for name in names], started, status)
+    return SparkSession.active().createDataFrame([row], STATS_SCHEMA)

@@ -168,39 +168,51 @@ def free_slots(
     )
 
 
-def assign_by_expertise(tasks: DataFrame, staff: DataFrame) -> DataFrame:
+def assign_by_expertise(tasks: DataFrame, staff: DataFrame, most_sets: int = 1000) -> DataFrame:
     """Add ``assigned_to`` and ``candidates`` to tasks with ``required_expertise``.
 
-    A candidate covers every required skill; the one with the fewest skills is
-    taken, by name among equals. The division runs over the distinct
-    requirement sets, of which a large task table has few, and comes back to
-    the tasks by an equi-join. Tasks nobody covers have a null assignment.
+    ``staff`` has ``name, expertise`` and, where names repeat, ``id``; without it a name and its set of skills are a
+    person. A candidate covers every required skill, and anyone covers none; the one with the fewest skills is taken, by name,
+    then id among equals. Tasks nobody covers, and those whose requirements are null, have a null assignment.
+
+    The division runs over the distinct requirement sets. Up to ``most_sets`` of them, their answers return to the tasks as a map
+    literal inside the row, without a shuffle; beyond that size by an equi-join.
     """
-    need = F.array_sort(F.array_distinct("required_expertise"))
-    needed = tasks.select(need.alias("_need")).distinct()
-    skills = staff.select("name", F.size(F.array_distinct("expertise")).alias("_skills"), F.explode(
-        F.array_distinct("expertise")
-    ).alias("_skill"))
-    covered = (
+    person = F.col("id").cast("string") if "id" in staff.columns else F.concat_ws("\x1f", F.array_sort(F.array_distinct("expertise")))
+    staff = staff.select("name", F.coalesce(person, F.lit("")).alias("_id"), F.array_compact(F.array_distinct("expertise")).alias("expertise"))
+    staff = staff.distinct()
+    need = F.array_sort(F.array_compact(F.array_distinct("required_expertise")))
+    needed = tasks.select(need.alias("_need")).where("_need is not null").distinct()
+    skills = staff.select("name", "_id", F.size("expertise").alias("_skills"), F.explode("expertise").alias("_skill"))
+    hits = (
         needed.select("_need", F.explode("_need").alias("_skill"))
         .join(skills, "_skill")
-        .groupBy("_need", "name", "_skills")
+        .groupBy("_need", "name", "_id", "_skills")
         .agg(F.count(F.lit(1)).alias("_hits"))
         .where(F.col("_hits") == F.size("_need"))
+    )
+    anyone = needed.where(F.size("_need") == 0).join(staff.select("name", "_id", F.size("expertise").alias("_skills")).withColumn("_none", F.lit(0)),
+                                                      F.size("_need") == F.col("_none"))
+    covered = (
+        hits.select("_need", "name", "_id", "_skills")
+        .unionByName(anyone.select("_need", "name", "_id", "_skills"))
         .groupBy("_need")
-        .agg(
-            F.min(F.struct("_skills", "name")).alias("_best"),
-            F.count(F.lit(1)).alias("_candidates"),
-        )
+        .agg(F.min(F.struct("_skills", "name", "_id")).alias("_best"), F.count(F.lit(1)).alias("_candidates"))
+        .select("_need", F.col("_best.name").alias("_name"), "_candidates")
     )
-    return (
-        tasks.withColumn("_need", need)
-        .join(covered, "_need", "left")
-        .select(
-            *tasks.columns,
-            F.col("_best.name").alias("assigned_to"),
-            F.coalesce("_candidates", F.lit(0)).alias("candidates"),
-        )
+    answers = covered.limit(most_sets + 1).collect()
+    if len(answers) > most_sets:
+        answered = tasks.withColumn("_need", need).join(covered, "_need", "left")
+    else:
+        text = lambda skills: F.to_json(skills)
+        pairs = [part for row in answers for part in (text(F.array(*[F.lit(s) for s in row["_need"]]).cast("array<string>")),
+                                                       F.struct(F.lit(row["_name"]).alias("_name"), F.lit(row["_candidates"]).alias("_candidates")))]
+        if pairs:
+            answered = tasks.withColumn("_answer", F.try_element_at(F.create_map(*pairs), text(need))).select("*", "_answer.*")
+        else:
+            answered = tasks.select("*", F.lit(None).cast("string").alias("_name"), F.lit(None).cast("bigint").alias("_candidates"))
+    return answered.select(
+        *tasks.columns, F.col("_name").alias("assigned_to"), F.coalesce("_candidates", F.lit(0).cast("bigint")).alias("candidates")
     )
 
 

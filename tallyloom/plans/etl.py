@@ -27,12 +27,12 @@ def _now() -> Column:
 
 
 @query("""
-select p_partkey::varchar as id, 'Sample_' || p_partkey as raw_content, p_partkey // 100 as batch,
-       'SampleDataSource' as source, (p_partkey // 100)::varchar as batch_text
+select p_partkey::varchar as id, p_name as raw_content, p_partkey // 100 as batch,
+       'part' as source, (p_partkey // 100)::varchar as batch_text
 from part
 """)
 def raw_records_of_parts(spark: SparkSession, folder: str) -> DataFrame:
-    rows = records.raw_records(read_table(spark, folder, "part"), "p_partkey")
+    rows = records.raw_records(read_table(spark, folder, "part"), "p_partkey", "p_name", "part")
     return rows.select(
         "id",
         "raw_content",
@@ -43,25 +43,24 @@ def raw_records_of_parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select o_orderkey as id, 'Sample_' || o_orderkey as data, 'SampleDataSource' as source from orders
+select o_orderkey as id, o_orderpriority as data, 'orders' as source from orders
 """)
 def flat_records_of_orders(spark: SparkSession, folder: str) -> DataFrame:
-    rows = records.flat_records(read_table(spark, folder, "orders"), "o_orderkey")
+    rows = records.flat_records(read_table(spark, folder, "orders"), "o_orderkey", "o_orderpriority", "orders")
     return rows.select("id", "data", "source")
 
 
 @query("""
-select o_orderkey::varchar as id,
-       case when o_orderkey % 500 = 0 then 'Error_' || o_orderkey else 'Sample_' || o_orderkey end as raw_content,
-       case when o_orderkey % 500 = 0 then 'Simulated timeout for testing' end as error,
-       case when o_orderkey % 500 = 0 then 'true' end as is_error,
-       case when o_orderkey % 500 <> 0 then 'false' end as is_retry
-from orders
+select event_id::varchar as id, case when k is null then 'Error_' || event_id else props end as raw_content,
+       case when k is null then 'no such day' end as error,
+       case when k is null then 'true' end as is_error, case when k is not null then 'false' end as is_retry
+from (select *, try_cast('2024-01-' || lpad(json_extract_string(props, '$.k'), 2, '0') as date) as k from events)
 """)
 def records_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    """Every record, the failing ones (each 500th by rule of the source) replaced."""
-    rows = records.raw_records(read_table(spark, folder, "orders"), "o_orderkey")
-    safe = records.with_error_fallback(rows, F.pmod(F.col("id").cast("bigint"), F.lit(500)) == 0)
+    """Every event's properties as a record; those whose number can't be read as a day of January are replaced."""
+    rows = records.raw_records(read_table(spark, folder, "events"), "event_id", "props", "events")
+    day = F.concat(F.lit("2024-01-"), F.lpad(F.get_json_object("raw_content", "$.k"), 2, "0")).try_cast("date")
+    safe = records.with_error_fallback(rows, day.isNull(), "no such day")
     meta = F.col("metadata")
     return safe.select(
         "id",
@@ -73,15 +72,16 @@ def records_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select doc_id::varchar as id, case when lang = 'fr' then '' else text end as processed_data,
-       timestamp '2025-01-01' as processed_at
-from documents
+select id, coalesce(raw, '') as processed_data, timestamp '2025-01-01' as processed_at
+from (select doc_id::varchar as id, text as raw from documents
+      union all select 'label-' || doc_id, text from labels left join (select doc_id, text from documents where lang = 'en') using (doc_id))
 """)
 def preprocess_documents(spark: SparkSession, folder: str) -> DataFrame:
-    raw = read_table(spark, folder, "documents").select(
-        F.col("doc_id").cast("string").alias("id"), F.when(F.col("lang") != "fr", F.col("text")).alias("raw_content")
-    )
-    return etl.preprocess(raw, _now())
+    """All documents, and the labelled ones joined to their English texts, which some don't have."""
+    documents = read_table(spark, folder, "documents").select("doc_id", "lang", F.col("text").alias("raw_content"))
+    labelled = read_table(spark, folder, "labels").select("doc_id").join(documents.where("lang = 'en'"), "doc_id", "left")
+    named = labelled.select(F.concat(F.lit("label-"), "doc_id").alias("id"), "raw_content")
+    return etl.preprocess(documents.select(F.col("doc_id").cast("string").alias("id"), "raw_content").unionByName(named), _now())
 
 
 @query("""
@@ -180,7 +180,7 @@ def load_lineage_of_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-select count(*) as extracted_count, count(kind) as transformed_count, count_if(error is null)::bigint as loaded_count,
+select count(*) as extracted_count, count_if(error is null and kind is not null)::bigint as transformed_count, count_if(error is null)::bigint as loaded_count,
        count_if(error is not null)::bigint as error_count, 'Completed' as status
 from ({RESULTS_SQL})
 """)
@@ -190,6 +190,20 @@ def etl_job_stats(spark: SparkSession, folder: str) -> DataFrame:
     return etl.run_with_stats(job).drop("start_time")
 
 
+@query(f"""
+select 'Completed' as status, count(*) as extracted_count, count_if(error is null)::bigint as loaded_count from ({RESULTS_SQL})
+union all select 'Failed', null, null union all select 'Cancelled', null, null
+""")
+def etl_job_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """The same job ending in its three ways: whole, with a load that breaks off, and called off before it began."""
+    def refuse(rows: DataFrame) -> None:
+        raise OSError("no store")
+
+    whole, failed = (etl.EtlJob(source=lambda: typed_records(spark, folder), load=load) for load in (sinks.noop_sink, refuse))
+    outcomes = etl.run_with_stats(whole).unionByName(etl.run_with_stats(failed)).unionByName(etl.run_with_stats(whole, lambda: True))
+    return outcomes.select("status", "extracted_count", "loaded_count")
+
+
 @query("select o_orderkey, o_orderdate - interval 330 minute as utc from orders")
 def orders_to_utc(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "orders").select("o_orderkey", to_utc("o_orderdate", "+05:30").alias("utc"))

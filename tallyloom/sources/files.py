@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.operators.batching import take_first
 
@@ -14,7 +15,7 @@ APPOINTMENT_SCHEMA = (
     "id string, patient_id string, date_time timestamp_ntz, procedure_type string, dentist_id string, status string"
 )
 ESTIMATE_REQUEST_SCHEMA = "request_id string, elements array<string>, precision int"
-FORECAST_SCHEMA = "date: date, temperature_c: int, summary: string"
+FORECAST_SCHEMA = "date date, temperature_c int, summary string"
 USER_EVENTS_SCHEMA = "event_id bigint, user_id string, event_timestamp timestamp_ntz"
 
 
@@ -41,9 +42,11 @@ def parse_json_requests(df: DataFrame, body: Column | str, schema: str) -> DataF
 def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files holding one JSON array each, as rows; null items are skipped.
 
-    An array cannot be split, so a file is read by one task.
+    An array cannot be split: a file is one row of one task, so by contract it is small (megabytes). Large inputs come as
+    JSON lines, see :func:`read_json_requests`; any number of files is read in parallel.
     """
-    items = F.explode(F.from_json("value", f"array<struct<{schema}>>")).alias("_item")
+    fields = ", ".join(f"{field.name}: {field.dataType.simpleString()}" for field in StructType.fromDDL(schema))
+    items = F.explode(F.from_json("value", f"array<struct<{fields}>>")).alias("_item")
     return spark.read.text(path, wholetext=True).select(items).where("_item is not null").select("_item.*")
 
 
@@ -57,9 +60,3 @@ def read_json_array_stream(
 def read_dosage_file(spark: SparkSession, path: str, header: bool = False) -> DataFrame:
     """Dosage rows from delimited files, columns by position."""
     return spark.read.schema(DOSAGE_SCHEMA).csv(path, header=header)
-
-
-def dosage_training_sample(spark: SparkSession) -> DataFrame:
-    """The one labelled example that ships with the classifier."""
-    row = ("12345678901", "Amoxicillin", "500 mg", "tablet", "oral", 30.0, "tablets", "twice daily")
-    return spark.createDataFrame([row], DOSAGE_SCHEMA)

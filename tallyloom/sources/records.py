@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tallyloom.functions.columns import as_column, whole_div
 from tallyloom.functions.hashing import hash32_md5
 
-SAMPLE_SOURCE = "SampleDataSource"
-
 # Fixed values of the forecast source.
 SUMMARIES = ["Freezing", "Bracing", "Chilly", "Cool", "Mild", "Warm", "Balmy", "Hot", "Sweltering", "Scorching"]
 COLDEST, WARMEST = -20, 55
@@ -17,17 +15,18 @@ COLDEST, WARMEST = -20, 55
 def raw_records(
     df: DataFrame,
     index: Column | str,
+    content: Column | str,
+    source: str,
     batch_size: int = 100,
-    source: str = SAMPLE_SOURCE,
     now: Column | None = None,
 ) -> DataFrame:
-    """``id, raw_content, metadata, batch`` per row, batches cut by the index."""
+    """``id, raw_content, metadata, batch`` per row of a table, the content from a column of it, batches cut by the index."""
     index = as_column(index).cast("bigint")
     now = F.current_timestamp() if now is None else now
     batch = whole_div(index, batch_size)
     return df.select(
         index.cast("string").alias("id"),
-        F.concat(F.lit("Sample_"), index.cast("string")).alias("raw_content"),
+        as_column(content).cast("string").alias("raw_content"),
         F.create_map(
             F.lit("timestamp"), now.cast("string"),
             F.lit("source"), F.lit(source),
@@ -37,32 +36,21 @@ def raw_records(
     )
 
 
-def raw_record_source(spark: SparkSession, n: int = 1000, batch_size: int = 100) -> DataFrame:
-    """``n`` raw records in batches; the last batch may be short."""
-    return raw_records(spark.range(n), "id", batch_size)
-
-
 def flat_records(
-    df: DataFrame, index: Column | str, source: str = SAMPLE_SOURCE, now: Column | None = None
+    df: DataFrame, index: Column | str, data: Column | str, source: str, now: Column | None = None
 ) -> DataFrame:
-    """``id, data, timestamp, source`` per row."""
-    index = as_column(index)
+    """``id, data, timestamp, source`` per row of a table."""
     now = F.current_timestamp() if now is None else now
     return df.select(
-        index.alias("id"),
-        F.concat(F.lit("Sample_"), index.cast("string")).alias("data"),
+        as_column(index).alias("id"),
+        as_column(data).cast("string").alias("data"),
         now.alias("timestamp"),
         F.lit(source).alias("source"),
     )
 
 
-def flat_record_source(spark: SparkSession, n: int = 1000) -> DataFrame:
-    """``n`` flat records."""
-    return flat_records(spark.range(n), F.col("id").cast("int"))
-
-
 def with_error_fallback(
-    records: DataFrame, fails_when: Column, error: str = "Simulated timeout for testing", now: Column | None = None
+    records: DataFrame, fails_when: Column, error: str, now: Column | None = None
 ) -> DataFrame:
     """Replace failing raw records by ``Error_<id>`` rows; mark the others as no retry."""
     now = (F.current_timestamp() if now is None else now).cast("string")

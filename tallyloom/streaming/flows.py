@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -12,7 +12,7 @@ from tallyloom.functions.cardinality import DEFAULT_PRECISION
 from tallyloom.operators.batching import fixed_size_batches, with_index
 from tallyloom.operators.etl import Step, is_loadable, load_result_log, store_of, transform_or_keep, validate_not_null
 from tallyloom.operators.sketch import hll_build
-from tallyloom.operators.workflow import stage_times, walk_stages
+from tallyloom.operators.workflow import stage_reports, walk_reports
 from tallyloom.sources.sinks import STORE_COLUMN
 from tallyloom.streaming.jobs import batch_folder, folder_writer, latest_rows, read_batches, write_batches
 
@@ -82,19 +82,19 @@ def stored_registers(spark: SparkSession, target: str, by_schema: str = "") -> D
 def workflow_stream(
     events: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("appointment_id",)
 ) -> StreamingQuery:
-    """Keep the stage times of every appointment and write the changed ones.
+    """Keep the reports of every appointment and write the changed lists.
 
     With an event-time column among the keys and a watermark on it, finished
     appointments leave the state.
     """
-    return write_batches(stage_times(events, keys), folder_writer(target), checkpoint, "update")
+    return write_batches(stage_reports(events, keys), folder_writer(target), checkpoint, "update")
 
 
 def stored_workflow_states(
     spark: SparkSession, target: str, schema: StructType, keys: Sequence[str] = ("appointment_id",)
 ) -> DataFrame:
-    """Workflow states from the newest stage times that :func:`workflow_stream` has written."""
-    return walk_stages(latest_rows(read_batches(spark, target, schema), list(keys)), keys)
+    """Workflow states from the newest reports that :func:`workflow_stream` has written."""
+    return walk_reports(latest_rows(read_batches(spark, target, schema), list(keys)), keys)
 
 
 def register_first_stream(
@@ -122,12 +122,25 @@ def register_first_stream(
 
 
 def micro_batches(
-    items: DataFrame, item: str, order_by: Sequence[str], size: int, target: str, checkpoint: str
+    items: DataFrame, item: str, order_by: Sequence[str], target: str, checkpoint: str
 ) -> StreamingQuery:
-    """Cut each micro-batch into buffers of ``size`` items; its last buffer may be short."""
+    """Number the items of each micro-batch in order and write them; :func:`stored_buffers` cuts them into buffers."""
 
-    def cut(batch: DataFrame, batch_id: int) -> None:
-        indexed = with_index(batch, order_by)
-        folder_writer(target)(fixed_size_batches(indexed, item, "index", size), batch_id)
+    def number(batch: DataFrame, batch_id: int) -> None:
+        folder_writer(target)(with_index(batch, order_by).select("index", F.col(item).alias("item")), batch_id)
 
-    return write_batches(items, cut, checkpoint)
+    return write_batches(items, number, checkpoint)
+
+
+def stored_buffers(spark: SparkSession, target: str, item_type: str, size: int) -> DataFrame:
+    """``batch, batch_size, items``: buffers of ``size`` items over the whole stream; only its last one may be short.
+
+    An item's place is its number in its micro-batch after those of all micro-batches before, so how the stream was cut into micro-batches
+    shifts no buffer, and a replay overwrites its own folder. The counts are a row per micro-batch.
+    """
+    stored = read_batches(spark, target, StructType.fromDDL(f"index bigint, item {item_type}"))
+    earlier = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    counts = stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select("batch_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    placed = stored.join(F.broadcast(offsets), "batch_id").select((F.col("offset") + F.col("index")).alias("index"), "item")
+    return fixed_size_batches(placed, "item", "index", size)

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from tallyloom.functions.dosage_rules import frequency_ok, ndc11_format, strength_ok
 from tallyloom.operators import dosage, dosage_model
 from tallyloom.session import scratch_path
-from tallyloom.sources.files import DOSAGE_SCHEMA, dosage_training_sample, read_dosage_file
+from tallyloom.sources.files import DOSAGE_SCHEMA, read_dosage_file
 
 
 def flags(spark, rule, values):
@@ -95,5 +95,6 @@ def test_labels_and_features(spark, training):
 
 def test_file_by_position(spark):
     path = scratch_path(spark, "csv")
-    dosage_training_sample(spark).write.csv(path)
+    row = ("00000000001", "Something", "5 mg", "capsule", "oral", 3.0, "capsules", "twice daily")
+    spark.createDataFrame([row], DOSAGE_SCHEMA).write.csv(path)
     assert read_dosage_file(spark, path).first()["frequency"] == "twice daily"

@@ -21,7 +21,7 @@ from tallyloom.functions.values import (
 from tallyloom.operators import etl
 from tallyloom.session import scratch_path
 from tallyloom.sources import records, sinks
-from tallyloom.sources.files import FORECAST_SCHEMA, dosage_training_sample, read_json_array
+from tallyloom.sources.files import FORECAST_SCHEMA, read_json_array
 
 
 def typed(spark):
@@ -75,19 +75,21 @@ def test_job_stats(spark):
     stats = etl.run_with_stats(job)
     assert stats.first()["start_time"] is not None
     assert stats.drop("start_time").first().asDict() == {
-        "extracted_count": 6, "transformed_count": 5, "loaded_count": 4, "error_count": 2, "status": "Completed",
+        "extracted_count": 6, "transformed_count": 4, "loaded_count": 4, "error_count": 2, "status": "Completed",
     }
 
 
 def test_sources(spark):
-    raw = records.raw_record_source(spark, 250, 100)
+    rows = spark.range(1000).select("id", F.when(F.col("id") % 500 != 0, F.concat(F.lit("t"), "id")).alias("t"))
+    raw = records.raw_records(rows.where("id < 250"), "id", "t", "table t", 100)
     assert {r["batch"]: r["count"] for r in raw.groupBy("batch").count().collect()} == {0: 100, 1: 100, 2: 50}
     first = raw.where("id = '7'").first()
-    assert first["raw_content"] == "Sample_7" and first["metadata"]["source"] == "SampleDataSource"
-    assert records.flat_record_source(spark).count() == 1000
-    safe = records.with_error_fallback(records.raw_record_source(spark), F.col("id").cast("int") % 500 == 0)
+    assert first["raw_content"] == "t7" and first["metadata"]["source"] == "table t"
+    assert records.flat_records(rows, "id", "t", "table t").where("data = 't9'").count() == 1
+    safe = records.with_error_fallback(records.raw_records(rows, "id", "t", "s"), F.col("raw_content").isNull(), "no content")
     failed = safe.where(F.col("metadata")["isError"] == "true").collect()
     assert sorted(r["raw_content"] for r in failed) == ["Error_0", "Error_500"]
+    assert all(r["metadata"]["error"] == "no content" for r in failed)
     assert safe.where(F.col("metadata")["isRetry"] == "false").count() == 998
 
 
@@ -141,7 +143,3 @@ def test_json_arrays_skip_nulls(spark, tmp_path):
     )
     rows = read_json_array(spark, str(tmp_path), FORECAST_SCHEMA).orderBy("date").collect()
     assert [(str(r["date"]), r["temperature_c"]) for r in rows] == [("2025-01-01", 3), ("2025-01-02", None)]
-
-
-def test_training_sample(spark):
-    assert dosage_training_sample(spark).first()["drug_name"] == "Amoxicillin"

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 import random
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,13 +14,13 @@ from tallyloom.session import scratch_path
 from tallyloom.sources.records import numbered_elements
 from tallyloom.streaming import flows
 from tallyloom.streaming.jobs import (
-    ProgressRecorder,
     StreamJob,
     file_stream,
     folder_writer,
     latest_rows,
     progress_feed,
     progress_messages,
+    progress_writer,
     read_batches,
     write_batches,
 )
@@ -64,7 +63,7 @@ def test_workflow_stream_equals_batch(spark):
     _, stream = as_stream(spark, rows)
     target = scratch_path(spark, "wf")
     flows.workflow_stream(stream, target, scratch_path(spark, "ck")).awaitTermination()
-    stored = flows.stored_workflow_states(spark, target, workflow.stage_times(rows).schema)
+    stored = flows.stored_workflow_states(spark, target, workflow.stage_reports(rows).schema)
     expected = workflow.workflow_states(rows)
     columns = [c for c in expected.columns if c != "metadata"]
     assert stored.select(columns).exceptAll(expected.select(columns)).isEmpty()
@@ -80,11 +79,11 @@ def test_finished_appointments_leave_the_state(spark):
     stream = file_stream(spark, path, rows.schema, 1).withWatermark("date_time", "1 day")
     keys = ["appointment_id", "date_time"]
     target, checkpoint = scratch_path(spark, "wf"), scratch_path(spark, "ck")
-    query = lambda: write_batches(workflow.stage_times(stream, keys), folder_writer(target), checkpoint)
+    query = lambda: write_batches(workflow.stage_reports(stream, keys), folder_writer(target), checkpoint)
     query().awaitTermination()
     late.write.mode("append").parquet(path)
     query().awaitTermination()
-    schema = workflow.stage_times(rows, keys).schema
+    schema = workflow.stage_reports(rows, keys).schema
     assert read_batches(spark, target, schema).count() == rows.select("appointment_id").distinct().count()
 
 
@@ -106,45 +105,30 @@ def test_first_record_wins(spark, within):
         assert sorted(r["k"] for r in kept) == list(range(20))
 
 
-def test_buffers_of_ten(spark):
+@pytest.mark.parametrize("files", [1, 2])
+def test_buffers_of_ten(spark, files):
     rows = spark.range(25).select(F.col("id").alias("item"))
-    path = scratch_path(spark, "input")
-    rows.coalesce(1).write.parquet(path)
+    _, stream = as_stream(spark, rows, files)
     target = scratch_path(spark, "ten")
-    flows.micro_batches(
-        file_stream(spark, path, rows.schema), "item", ["item"], 10, target, scratch_path(spark, "ck")
-    ).awaitTermination()
-    assert sorted(r["batch_size"] for r in spark.read.parquet(target).collect()) == [5, 10, 10]
+    flows.micro_batches(stream, "item", ["item"], target, scratch_path(spark, "ck")).awaitTermination()
+    buffers = flows.stored_buffers(spark, target, "bigint", 10).orderBy("batch").collect()
+    assert [(r["batch"], r["batch_size"]) for r in buffers] == [(0, 10), (1, 10), (2, 5)]
+    assert sorted(item for r in buffers for item in r["items"]) == list(range(25))
 
 
 def test_progress_and_status(spark):
-    _, stream = as_stream(spark, spark.range(1000), files=4, max_files=2)
-    target = scratch_path(spark, "p")
-    job = StreamJob("good", lambda: write_batches(stream, folder_writer(target), scratch_path(spark, "ck")))
+    path, stream = as_stream(spark, spark.range(1000), files=4, max_files=2)
+    target, progress, checkpoint = (scratch_path(spark, name) for name in ("p", "progress", "ck"))
+    run = lambda: StreamJob("good", lambda: write_batches(stream, progress_writer(target, progress), checkpoint))
+    job = run()
     assert job.await_end() == "Completed"
-    feed = progress_feed(job.query, "good", 1000).orderBy("batch_id").collect()
+    feed = progress_feed(spark, progress, "good", "Completed", 1000).orderBy("batch_id").collect()
     assert [r["status"] for r in feed] == ["Running", "Completed"] and feed[-1]["processed_items"] == 1000
-    assert '"job_id":"good"' in progress_messages(progress_feed(job.query, "good", 1000)).first()["message"]
+    assert '"job_id":"good"' in progress_messages(progress_feed(spark, progress, "good")).first()["message"]
     assert [r["status"] for r in job.statuses(spark).collect()] == ["Running", "Completed"]
-
-
-def test_recorder_sees_every_micro_batch(spark):
-    _, stream = as_stream(spark, spark.range(1000), files=5, max_files=1)
-    recorder = ProgressRecorder("long", 1000)
-    spark.streams.addListener(recorder)
-    try:
-        write_batches(stream, folder_writer(scratch_path(spark, "p")), scratch_path(spark, "ck")).awaitTermination()
-        for _ in range(100):
-            if recorder.finished:
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(recorder)
-    table = scratch_path(spark, "progress")
-    assert recorder.append_to(spark, table) >= 7 and recorder.append_to(spark, table) == 0
-    rows = spark.read.parquet(table)
-    assert rows.agg(F.max("processed_items")).first()[0] == 1000
-    assert rows.where("status = 'Completed'").count() == 1 and rows.where("batch_id is not null").count() >= 5
+    spark.range(50).coalesce(1).write.mode("append").parquet(path)
+    assert run().await_end() == "Completed"
+    assert progress_feed(spark, progress, "good", "Cancelled").where("status = 'Cancelled'").first()["processed_items"] == 1050
 
 
 def test_failed_and_cancelled_jobs(spark):

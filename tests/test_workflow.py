@@ -58,6 +58,22 @@ def test_states_from_events(spark):
     assert workflow.workflow_rejects(workflow.workflow_states(events(spark, rows))).count() == 3
 
 
+def test_later_legal_reports_count_and_all_reports_are_told(spark):
+    stages = list(workflow.STAGE_TIMES)
+    rows = [("again", stages[1], 1), ("again", stages[0], 2), ("again", stages[1], 3)]
+    rows += [("done", s, i) for i, s in enumerate(stages)] + [("done", "Completed", 9), ("done", "Cancelled", 10), ("done", stages[0], 11)]
+    rows += [("off", stages[0], 0), ("off", "Cancelled", 1), ("off", stages[1], 2)]
+    rows += [("odd", "Asleep", 0), ("odd", None, 1), ("odd", stages[0], 2), ("odd", stages[0], 3), ("odd", "Completed", 4)]
+    random.Random(2).shuffle(rows)
+    untimed = events(spark, [("odd", stages[1], 0)]).withColumn("event_time", F.lit(None).cast("timestamp_ntz"))
+    found = {r["appointment_id"]: r for r in workflow.workflow_states(events(spark, rows).unionByName(untimed)).collect()}
+    assert found["again"]["status"] == stages[1] and found["again"]["insurance_verified_at"] == at(3)
+    assert found["again"]["notes"] == [f"rejected {stages[1]}"]
+    assert found["done"]["status"] == "Completed" and found["done"]["notes"] == ["rejected Cancelled", "rejected CheckedIn"]
+    assert found["off"]["status"] == "Cancelled" and found["off"]["notes"] == [f"rejected {stages[1]}"]
+    assert found["odd"]["status"] == stages[0] and len(found["odd"]["notes"]) == 5
+
+
 def test_lookup_and_first(spark):
     states = spark.createDataFrame([("a", "CheckedIn")], "id string, status string")
     ids = spark.createDataFrame([("a",), ("b",)], "id string")
@@ -166,3 +182,13 @@ def test_plans(spark):
     assert row["restorative_care"] == [] and row["priority_procedures"] == ["p"] and row["estimated_timeline"] == "12 months"
     tasks = scheduling.referral_tasks(plan.select("id", "treatment_plan.specialist_referrals")).collect()
     assert [t["referral"] for t in tasks] == ["endodontics", "x"] and tasks[0]["specialist_referrals"] == ["endodontics", "x"]
+
+
+@pytest.mark.parametrize("most_sets", [0, 1000])
+def test_staff_of_one_name_and_tasks_without_requirements(spark, most_sets):
+    staff = spark.createDataFrame([("Ann", ["a"]), ("Ann", ["b"]), ("Ann", ["a"]), ("Bob", ["a", "b", "c"])], "name string, expertise array<string>")
+    tasks = spark.createDataFrame([(1, ["a", "b"]), (2, ["a"]), (3, []), (4, ["z"]), (5, None)], "t int, required_expertise array<string>")
+    got = {r["t"]: (r["assigned_to"], r["candidates"]) for r in scheduling.assign_by_expertise(tasks, staff, most_sets).collect()}
+    assert got == {1: ("Bob", 1), 2: ("Ann", 2), 3: ("Ann", 3), 4: (None, 0), 5: (None, 0)}
+    by_id = staff.withColumn("id", F.monotonically_increasing_id())
+    assert {r["t"]: r["candidates"] for r in scheduling.assign_by_expertise(tasks, by_id, most_sets).collect()} == {1: 1, 2: 3, 3: 4, 4: 0, 5: 0}
