@@ -79,7 +79,7 @@ def base_candidates(text: str) -> Iterator[tuple[str, int, int, bool]]:
         for start, stop, passes in emails(text):
             yield "email", start, stop, passes
     for match in _IP.finditer(text):
-        yield "ip", *match.span(), all(len(part.lstrip("0")) < 4 and int(part) <= 255 for part in match[0].split("."))
+        yield "ip", *match.span(), all(len(part.lstrip("0")) < 4 and int(part.lstrip("0") or "0") <= 255 for part in match[0].split("."))
     for match in _CARD.finditer(text):
         if match.end() - match.start() >= 13:
             digits = _digits(match[0])

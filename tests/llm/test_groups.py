@@ -156,7 +156,7 @@ def test_toxicity_of_odd_tables(spark):
 
 def test_pipeline_stages_take_effect(spark, tmp_path):
     docs, labels, toxic = toxic_corpus(spark)
-    extra = [(2000, "one two three four five six seven eight nine ten eleven twelve token = abcdef123456"), (2001, "one two three four five six seven eight nine ten eleven twelve token = abcdef123456"), (2002, None), (2003, "")]
+    extra = [(2000, "one two three four five six seven eight nine ten eleven twelve token = abcdef123456"), (2001, "one two three four five six seven eight nine ten eleven twelve token = abcdef123456"), (2002, None), (2003, ""), (None, "alpha beta"), (None, "gamma delta"), (2000, "one two three four five six seven eight nine ten eleven twelve token = abcdef123456")]
     more = spark.createDataFrame([(i, text, None, None, 3) for i, text in extra], "doc_id long, text string, lang string, source string, n_chars long")
     docs.select(*corpus_pipeline.COLUMNS).unionByName(more).write.parquet(f"{tmp_path}/documents.parquet")
     labels.write.parquet(f"{tmp_path}/labels.parquet")
@@ -168,7 +168,9 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     clean = {row[0] for row in kept["toxicity"].select("doc_id").collect()}
     wrong = {i for i, bad in enumerate(toxic) if bad} & clean | ({i for i, bad in enumerate(toxic) if not bad} - clean)
     assert len(wrong) < 20 and {2000, 2001, 2002, 2003} <= clean
-    unique = {row[0] for row in kept["simhash"].select("doc_id").collect()}
+    rows = [row[0] for row in kept["simhash"].select("doc_id").collect()]
+    assert rows.count(2000) == 1 and rows.count(None) == 2
+    unique = set(rows)
     assert {2000, 2002} <= unique and not {2001, 2003} & unique and unique <= clean
     masked = {row["doc_id"]: row["text"] for row in kept["secrets"].collect()}
     assert masked.keys() == unique and masked[2000].endswith("twelve [SECRET]") and masked[2002] is None
