@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.session import materialize
+
 NODES_SCHEMA = "id bigint, labels array<string>, props map<string,string>"
 EDGES_SCHEMA = "edge_id bigint, src bigint, dst bigint, type string"
 
@@ -60,11 +62,12 @@ def match_path(
     """Paths through fixed edge types, ``labels[i] -types[i]-> labels[i+1]``.
 
     Returns ``src, src_name, dst, dst_name``, one row per path. Labels filter
-    the ends and the middle nodes before the next hop is joined.
+    the ends and the middle nodes before the next hop is joined. The name of the start is carried along, so few
+    and hot starts are not joined back to their paths.
     """
     if len(labels) != len(types) + 1:
         raise ValueError("a path needs one label more than edge types")
-    paths = nodes_of(nodes, labels[0]).select(F.col("id").alias("src"), F.col("id").alias("_at"))
+    paths = _named(nodes, "src", labels[0]).withColumn("_at", F.col("src"))
     used: list[str] = []
     for hop, edge_type in enumerate(types):
         edge = f"_e{hop}"
@@ -76,15 +79,11 @@ def match_path(
             paths = paths.where(F.col(earlier) != F.col(edge))
         paths = paths.drop("_at").withColumnRenamed("_to", "_at")
         used.append(edge)
-        if labels[hop + 1] is not None:
+        if labels[hop + 1] is not None and hop + 1 < len(types):
             allowed = nodes_of(nodes, labels[hop + 1]).select(F.col("id").alias("_at"))
             paths = paths.join(allowed, "_at", "left_semi")
-    ends = paths.select("src", F.col("_at").alias("dst"))
-    return (
-        ends.join(_named(nodes, "src", None), "src")
-        .join(_named(nodes, "dst", None), "dst")
-        .select("src", "src_name", "dst", "dst_name")
-    )
+    ends = paths.select("src", "src_name", F.col("_at").alias("dst"))
+    return ends.join(_named(nodes, "dst", labels[-1]), "dst").select("src", "src_name", "dst", "dst_name")
 
 
 def match_var_length(
@@ -98,19 +97,18 @@ def match_var_length(
     if max_hops < 1:
         raise ValueError("a path has at least one hop")
     steps = edges.select(F.col("src").alias("_at"), F.col("dst").alias("_to"), "edge_id")
-    level = nodes_of(nodes, src_label).select(
-        F.col("id").alias("src"), F.col("id").alias("_at"), F.array().cast("array<bigint>").alias("_used")
+    level = _named(nodes, "src", src_label).select(
+        "src", "src_name", F.col("src").alias("_at"), F.array().cast("array<bigint>").alias("_used")
     )
     levels = []
     for hop in range(1, max_hops + 1):
         joined = level.join(steps, "_at")
         if hop > 1:
             joined = joined.where(~F.array_contains("_used", F.col("edge_id")))
-        level = joined.select("src", F.col("_to").alias("_at"), F.array_append("_used", F.col("edge_id")).alias("_used"))
-        levels.append(level.select("src", F.lit(hop).alias("hops"), F.col("_at").alias("dst")))
+        level = joined.select("src", "src_name", F.col("_to").alias("_at"), F.array_append("_used", F.col("edge_id")).alias("_used"))
+        levels.append(level.select("src", "src_name", F.lit(hop).alias("hops"), F.col("_at").alias("dst")))
     return (
         union_paths(*levels)
-        .join(_named(nodes, "src", None), "src")
         .join(_named(nodes, "dst", None, F.col("labels").alias("dst_labels")), "dst")
         .select("src", "src_name", "hops", "dst", "dst_name", "dst_labels")
     )
@@ -132,26 +130,24 @@ def distinct_services(
     Walks sets of nodes instead of paths: every level is de-duplicated before
     the next join, so the work follows the nodes and edges and not the number
     of paths. A path may not repeat an edge, which only forbids a second turn
-    around a loop and so reaches no other node.
+    around a loop and so reaches no other node. Steps and every level are scratch tables, so a hop reads its two
+    inputs once, however nodes and edges are made.
     """
-    steps = edges.select(F.col("src").alias("_at"), F.col("dst").alias("_to"))
+    steps = materialize(edges.select(F.col("src").alias("_at"), F.col("dst").alias("_to")), "graph-steps")
     frontier = nodes_of(nodes, src_label).select(F.col("id").alias("_at"))
     reached = []
     for _ in range(max_hops):
         frontier = steps.join(frontier, "_at", "left_semi").select(F.col("_to").alias("_at")).distinct()
+        frontier = materialize(frontier, "graph-frontier")
         reached.append(frontier.select(F.col("_at").alias("id")))
     return nodes.join(union_paths(*reached), "id", "left_semi").select("labels").distinct()
 
 
 def _memberships(nodes: DataFrame, edges: DataFrame, edge_type: str, hub_label: str | None) -> DataFrame:
-    hubs = nodes_of(nodes, hub_label).select(F.col("id").alias("dst"))
-    return (
-        edges_of(edges, [edge_type])
-        .select("src", "dst")
-        .join(hubs, "dst", "left_semi")
-        .groupBy("src", "dst")
-        .agg(F.count(F.lit(1)).alias("links"))
-    )
+    links = edges_of(edges, [edge_type]).select("src", "dst")
+    if hub_label is not None:
+        links = links.join(nodes_of(nodes, hub_label).select(F.col("id").alias("dst")), "dst", "left_semi")
+    return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("links"))
 
 
 def overlapping_membership(
@@ -213,11 +209,10 @@ def co_members(
 ) -> DataFrame:
     """``org, org_name, hub, hub_name, others``: each membership and how many others share it."""
     member = _memberships(nodes, edges, edge_type, hub_label).select("src", "dst")
-    sizes = member.groupBy("dst").agg(F.count(F.lit(1)).alias("_members"))
+    hubs = member.groupBy("dst").agg(F.count(F.lit(1)).alias("_members")).join(_named(nodes, "dst", None), "dst")
     return (
-        member.join(sizes, "dst")
+        member.join(hubs, "dst")
         .join(_named(nodes, "src", None), "src")
-        .join(_named(nodes, "dst", None), "dst")
         .select(
             F.col("src").alias("org"),
             F.col("src_name").alias("org_name"),

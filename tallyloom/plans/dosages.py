@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.dosage_rules import frequency_ok, ndc11_format, strength_ok
 from tallyloom.operators import dosage, dosage_model
-from tallyloom.plans.inputs import DOSAGES_SQL, LABELERS_SQL, dosages, labelers
+from tallyloom.plans.inputs import DOSAGES_SQL, FREQUENCIES, LABELERS_SQL, dosages, labelers
 from tallyloom.plans.registry import query
 from tallyloom.session import scratch_path
 from tallyloom.sources.files import read_dosage_file
@@ -101,6 +101,32 @@ def predict_with_saved_model(spark: SparkSession, folder: str) -> DataFrame:
     return dosage_model.predict_form(rows, model).select("ndc11", "dosage_form", "predicted_dosage_form", "confidence")
 
 
+UNIT_FORMS = ("ECONOMY", "STANDARD", "PROMO")
+_FIRST = FREQUENCIES[0]
+
+
+@query(f"""
+select ndc11, stated as dosage_form, dosage_form as predicted_dosage_form, true as is_share,
+       case when stated <> dosage_form then 'Predicted dosage form (' || dosage_form || ') differs from input' end as warning
+from (select *, case when frequency = '{_FIRST}' then 'SOMETHING ELSE' else dosage_form end as stated
+      from ({DOSAGES_SQL}) where dosage_form in {UNIT_FORMS})
+""")
+def forms_told_by_unit(spark: SparkSession, folder: str) -> DataFrame:
+    """A trained, saved and loaded model on the forms that the unit of the strength decides; some rows state another form."""
+    rows = dosages(spark, folder).where(F.col("dosage_form").isin(*UNIT_FORMS))
+    path = scratch_path(spark, "model")
+    dosage_model.save_model(dosage_model.train_classifier(rows, max_iter=30, features=1 << 10), path)
+    stated = F.when(F.col("frequency") == _FIRST, F.lit("SOMETHING ELSE")).otherwise(F.col("dosage_form"))
+    predicted = dosage_model.predict_form(rows.withColumn("dosage_form", stated), dosage_model.load_model(path))
+    return predicted.select(
+        "ndc11",
+        "dosage_form",
+        "predicted_dosage_form",
+        F.col("confidence").between(0.0, 1.0).alias("is_share"),
+        dosage.form_mismatch_warning(F.col("predicted_dosage_form"), F.col("dosage_form")).alias("warning"),
+    )
+
+
 @query(f"""
 select dosage_form, label, dosage_form as restored, count(*) as rows
 from ({DOSAGES_SQL}) join

@@ -55,3 +55,9 @@ def test_query(spark, tables, name):
         columns = [item[0] for item in cursor.description]
         assert sorted(columns) == sorted(frame.columns)
         assert found == rows_of(columns, cursor.fetchall())
+
+
+def test_graph_plans_read_stored_tables(spark):
+    """Sets of nodes are scratch tables, a scan per hop; a hub's name comes with its size."""
+    assert plan_of(spark, "services_in_network").count("FileScan") <= 12
+    assert plan_of(spark, "co_members_of_hubs").count("FileScan") <= 14
