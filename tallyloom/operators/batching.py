@@ -98,8 +98,14 @@ def take_first(df: DataFrame, max_items: int = 10, order_by: Sequence[str] = ())
     return (df.orderBy(*order_by) if order_by else df).limit(max_items)
 
 
-def slice_rows(df: DataFrame, order_by: Sequence[str], skip: int, take: int) -> DataFrame:
-    """Rows ``skip .. skip+take-1`` in the order of ``order_by``, found by position."""
+def slice_rows(df: DataFrame, order_by: Sequence[str], skip: int, take: int, most_held: int = 100_000) -> DataFrame:
+    """Rows ``skip .. skip+take-1`` in the order of ``order_by``, which must identify a row.
+
+    A slice that ends within ``most_held`` rows is a bounded top-k: every task keeps that many at most, and nothing else is sorted or
+    written. A later one is found by position, with the same rows.
+    """
+    if skip + take <= most_held:
+        return df.orderBy(*order_by).offset(skip).limit(take)
     indexed = with_index(df, order_by, "_index")
     return indexed.where((F.col("_index") >= skip) & (F.col("_index") < skip + take)).drop("_index")
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from tallyloom.session import materialize
+
 # Staff and task kinds of the care team.
 STAFF = [
     ("General Dentist", ["general_dentistry", "diagnosis", "treatment_planning"]),
@@ -38,7 +40,7 @@ def room_conflicts(bookings: DataFrame, room: str = "room_id", start: str = "sta
     start before its end, less the ones that end by its start, less itself.
     Both are running totals over the distinct times of a room, so rows that
     share a time are combined before anything is ordered, and the order is
-    kept per room and day. Bookings that do not end after they start have a
+    kept per room and day. Points and totals are scratch tables, each made once and read twice. Bookings that do not end after they start have a
     null count and hinder nobody.
     """
     valid = F.col(start) < F.col(end)
@@ -51,10 +53,11 @@ def room_conflicts(bookings: DataFrame, room: str = "room_id", start: str = "sta
             )
         ).alias("_point"),
     )
-    points = (
+    points = materialize(
         times.groupBy(room, F.col("_point.t").alias("_t"))
         .agg(F.sum("_point.starts").alias("_starts"), F.sum("_point.ends").alias("_ends"))
-        .withColumn("_day", F.to_date("_t"))
+        .withColumn("_day", F.to_date("_t")),
+        "room-points",
     )
     earlier_days = Window.partitionBy(room).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     days = (
@@ -70,11 +73,14 @@ def room_conflicts(bookings: DataFrame, room: str = "room_id", start: str = "sta
     in_day = Window.partitionBy(room, "_day").orderBy("_t")
     before = in_day.rowsBetween(Window.unboundedPreceding, -1)
     through = in_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = points.join(days, [room, "_day"]).select(
-        room,
-        "_t",
-        (F.col("_starts_before_day") + F.coalesce(F.sum("_starts").over(before), F.lit(0))).alias("_started"),
-        (F.col("_ends_before_day") + F.sum("_ends").over(through)).alias("_ended"),
+    totals = materialize(
+        points.join(days, [room, "_day"]).select(
+            room,
+            "_t",
+            (F.col("_starts_before_day") + F.coalesce(F.sum("_starts").over(before), F.lit(0))).alias("_started"),
+            (F.col("_ends_before_day") + F.sum("_ends").over(through)).alias("_ended"),
+        ),
+        "room-totals",
     )
     at_end = totals.select(room, F.col("_t").alias(end), "_started")
     at_start = totals.select(room, F.col("_t").alias(start), "_ended")

@@ -15,7 +15,7 @@ from tallyloom.functions.values import (
 from tallyloom.operators import etl
 from tallyloom.plans.inputs import RESULTS_SQL, TYPED_RECORDS_SQL, typed_records
 from tallyloom.plans.registry import query
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import records, sinks
 from tallyloom.sources.files import read_table
 
@@ -171,9 +171,9 @@ select r.id, {TEXT_SQL} as text, l.id as load_id, success, storage_location
 from ({RESULTS_SQL}) r left join ({LOG_SQL}) l on l.transformation_id = r.id and l.success
 """)
 def load_lineage_of_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Every transformation with its successful load."""
-    results = _results(spark, folder)
-    loads = etl.load_result_log(results, now=_now()).where("success")
+    """Every transformation with its successful load, both from stored tables."""
+    results = materialize(_results(spark, folder), "results")
+    loads = materialize(etl.load_result_log(results, now=_now()).where("success"), "load-log")
     return etl.load_lineage(results, loads).select(
         "id", value_text("transformed_data").alias("text"), "load_id", "success", "storage_location"
     )

@@ -10,7 +10,7 @@ from tallyloom.functions.values import day_filter, month_filter
 from tallyloom.operators import sketch, sketch_state
 from tallyloom.plans.inputs import user_events
 from tallyloom.plans.registry import query
-from tallyloom.session import scratch_path
+from tallyloom.session import materialize, scratch_path
 from tallyloom.sources.files import (
     ESTIMATE_REQUEST_SCHEMA,
     USER_EVENTS_SCHEMA,
@@ -162,7 +162,7 @@ from ({sql_estimate(sql_registers(EVENTS, 'user_id', 12, 'kind'), 12, 'kind')})
 """)
 def hll_clear_kind(spark: SparkSession, folder: str) -> DataFrame:
     events = user_events(spark, folder)
-    by_kind = sketch.hll_build(events, "user_id", 12, ["kind"])
+    by_kind = materialize(sketch.hll_build(events, "user_id", 12, ["kind"]), "registers")
     done = events.where(F.col("kind") == "F").select("kind")
     cleared = sketch.hll_clear(by_kind, ["kind"], done)
     return sketch.hll_estimate(cleared, ["kind"]).select("kind", "zeros", "estimate")
@@ -271,7 +271,7 @@ WEEK_PAIRS = f"""(
 )
 def unique_visitors_two_weeks(spark: SparkSession, folder: str) -> DataFrame:
     """Each week merged with the one after it."""
-    weeks = sketch.visitor_sketches(user_events(spark, folder), "user_id", "event_timestamp", "week", 12)
+    weeks = materialize(sketch.visitor_sketches(user_events(spark, folder), "user_id", "event_timestamp", "week", 12), "weeks")
     return sketch.next_period_union(weeks, "period", F.expr("INTERVAL 7 DAY"))
 
 
@@ -359,7 +359,7 @@ left join (select ascii(kind) as hll_id, estimate
 def estimate_cardinality_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Stored estimates looked up by id; most ids have no sketch."""
     wanted = read_table(spark, folder, "orders").select(F.col("o_custkey").alias("hll_id")).distinct()
-    found = sketch_state.estimate_cardinality(_stored_state(spark, folder), wanted)
+    found = sketch_state.estimate_cardinality(materialize(_stored_state(spark, folder), "state"), wanted)
     return found.select(F.col("hll_id").alias("o_custkey"), "estimate")
 
 
