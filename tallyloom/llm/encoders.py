@@ -3,29 +3,81 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import cache
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a Spark task is one thread
 
+import numpy as np  # noqa: E402
+import pyarrow as pa  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-from tallyloom.llm.pieces import PieceCache, spaced  # noqa: E402
+from tallyloom.llm.pieces import PieceTable  # noqa: E402
+
+
+#: A word of plain letters, with a line end or a space before and ASCII punctuation after it. The patterns of the vocabularies cut
+#: between the three, so the parts are encoded once for all the pieces that share them.
+_PLAIN = re.compile(r"(\n?)( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 class LibraryEncoder:
     """Identifiers of whole texts as the library gives them, without added special tokens, as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 600_000, together: int = 100):
         self._tokenizer = Tokenizer.from_file(path)
-        self._pieces = PieceCache(self._encode, spaced, lambda text: self._encode([text]), limit)
+        self._pieces = PieceTable(self._encode, self._of_library, limit)
+        self._parts: dict[str, bytes] = {}
+        self._limit, self._together = limit, together
+        vocabulary = sorted(self._tokenizer.get_vocab().items(), key=lambda item: item[1])
+        ends = any(token.endswith("</w>") for token, _ in vocabulary)
+        #: Tokens at which a word of plain letters begins, or, where the vocabulary marks the ends of words, ends.
+        self._marks = np.array([token.endswith("</w>") if ends else token.startswith("Ġ") for token, _ in vocabulary])
+        self._marks_ends = ends
+        self._folds = self._of_library([" ÀThe"]) == self._of_library(["àthe"])  # case and spaces don't matter to it
 
-    def _encode(self, forms: list[str]) -> list[bytes]:
+    def _of_library(self, forms: list[str]) -> list[bytes]:
         return [array("I", found.ids).tobytes() for found in self._tokenizer.encode_batch_fast(forms, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        return map(b"".join, self._pieces.values(texts))
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        """Identifiers of words of plain letters, many in one text; without a space in front a word is encoded alone."""
+        spaced = [word for word in words if self._folds or word[0] == " "]
+        alone = [word for word in words if not self._folds and word[0] != " "]
+        values = dict(zip(alone, self._of_library(alone)))
+        groups = [spaced[i : i + self._together] for i in range(0, len(spaced), self._together)]
+        for group, ids in zip(groups, self._of_library([(" " if self._folds else "").join(group) for group in groups])):
+            flat = np.frombuffer(ids, "<u4")
+            cuts = np.flatnonzero(self._marks[flat]) * 4
+            bounds = [0, *(cuts + 4).tolist()] if self._marks_ends else [*cuts.tolist(), len(ids)]
+            if len(bounds) == len(group) + 1 and bounds[0] == 0 and bounds[-1] == len(ids):
+                values.update((word, ids[a:b]) for word, a, b in zip(group, bounds, bounds[1:]))
+            else:
+                values.update(zip(group, self._of_library(group)))
+        return [values[word] for word in words]
+
+    def _encode(self, forms: list[str]) -> list[bytes]:
+        split = []
+        for form in forms:
+            if match := _PLAIN.fullmatch(form):
+                before, word, after = match.groups()
+                split.append((before, word.strip().lower() if self._folds else word, after))
+            else:
+                split.append((form,))
+        asked = {part for parts in split for part in parts if part}
+        values = {part: self._parts[part] for part in asked if part in self._parts}
+        words = {parts[1] for parts in split if len(parts) == 3} - values.keys()
+        others = asked - values.keys() - words
+        fresh = dict(zip(words, self._of_words(list(words)))) | dict(zip(others, self._of_library(list(others))))
+        if len(self._parts) + len(fresh) > self._limit:
+            self._parts.clear()
+        self._parts.update((part, value) for part, value in fresh.items() if len(part) <= 32)
+        values |= fresh
+        values[""] = b""
+        return [b"".join([values[part] for part in parts]) for parts in split]
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        return self._pieces.encode(texts)
 
 
 @cache

@@ -169,7 +169,7 @@ def pack_documents(docs: DataFrame, limits: Limits = Limits(), vocabulary: str |
 
         def rows():
             for batch in chain([first], batches):
-                for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+                for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
                     mask = np.ones(len(ids) // 4 + 1, np.uint8)
                     mask[0] = 0
                     yield name, ids + end, mask

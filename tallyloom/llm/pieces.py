@@ -11,6 +11,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 from tallyloom.llm.common import text_blocks
 
 
@@ -48,16 +52,17 @@ class PieceCache:
         for row in rows:
             values = list(map(self._known.get, row))
             values[0] = heads.get(row[0])
-            if None in values:
-                missing.update(piece for piece, value in zip(row[1:], values[1:]) if value is None)
-            found.append(values)
+            holes = [i for i, value in enumerate(values) if value is None] if None in values else []
+            missing.update([row[i] for i in holes if i])
+            found.append((values, holes))
         fresh = self._learn(missing, self._known, False) if missing else {}
-        for text, row, values in zip(texts, rows, found):
-            if None in values:
-                values = [fresh.get(piece) if value is None else value for piece, value in zip(row, values)]
-                values[0] = heads.get(row[0])
-                if None in values:
+        for text, row, (values, holes) in zip(texts, rows, found):
+            for i in holes:
+                if i and (value := fresh.get(row[i])) is not None:
+                    values[i] = value
+                else:
                     values = self._whole(text) if text else []
+                    break
             yield values
 
     def _learn(self, pieces: set[str], known: dict[str, Any], first: bool) -> dict[str, Any]:
@@ -86,3 +91,73 @@ def spaced(piece: str, first: bool) -> str | None:
     if not piece or (piece[0].isspace() and (piece[0] != "\n" or len(piece) == 1 or piece[1].isspace())):
         return None
     return piece if piece[0] == "\n" else " " + piece
+
+
+class PieceTable:
+    """Little-endian 32-bit identifiers of whole texts in Arrow arrays, by the spaced forms of their distinct pieces.
+
+    Texts are cut and their pieces numbered by Arrow; ``encode`` sees each new form once, and numpy gathers the
+    identifiers of a text from those of its pieces. Irregular texts go to ``encode`` whole. At most ``limit`` pieces are remembered.
+    """
+
+    FIRST = "\x02"  #: stands before the first piece of a text; a text that holds it itself is irregular
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[list[str]], list[bytes]], limit: int = 500_000, longest: int = 48):
+        self._encode, self._whole, self._limit, self._longest = encode, whole, limit, longest
+        self._known: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array, block: int = 4_000_000) -> Iterator[bytes]:
+        """The identifiers of every text; about ``block`` bytes are worked on at a time."""
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(texts):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + block, "right")))
+            yield from self._block(texts.slice(start, stop - start))
+            start = stop
+
+    def _block(self, texts: pa.Array) -> list[bytes]:
+        marked = pc.binary_join_element_wise(self.FIRST, pc.replace_substring(texts, "\n", " \n"), "")
+        lists = pc.split_pattern(marked, " ")
+        offsets = lists.offsets.to_numpy()
+        numbered = lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
+        offsets = offsets - offsets[0]
+        values, irregular = self._of(numbered.dictionary.to_pylist())
+        which = numbered.indices.to_numpy()
+        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat = np.frombuffer(b"".join(values), "<u4")
+        counts = sizes[which]
+        ends = np.append(0, np.cumsum(counts))
+        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], counts) + np.arange(ends[-1])].tobytes()
+        bounds = (4 * ends[offsets]).tolist()
+        found = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
+        bad = np.append(0, np.cumsum(irregular[which]))
+        marks = pc.match_substring(texts, self.FIRST).to_numpy(zero_copy_only=False)
+        whole = np.flatnonzero((bad[offsets[1:]] > bad[offsets[:-1]]) | marks).tolist()
+        for i, value in zip(whole, self._whole([texts[i].as_py() for i in whole]) if whole else []):
+            found[i] = value
+        return found
+
+    def _of(self, pieces: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """Values of distinct pieces, and which of them can't stand alone."""
+        values = list(map(self._known.get, pieces))
+        holes = [i for i, value in enumerate(values) if value is None]
+        irregular = np.zeros(len(pieces), bool)
+        ask, forms = [], []
+        for i in holes:
+            piece = pieces[i]
+            form = piece[1:] if piece[:1] == self.FIRST else spaced(piece, False)
+            if form is None:
+                irregular[i] = True
+                values[i] = b""
+            else:
+                ask.append(i)
+                forms.append(form)
+        if ask:
+            if len(self._known) + len(ask) > self._limit:
+                self._known.clear()
+            for i, value in zip(ask, self._encode(forms)):
+                values[i] = value
+                if len(pieces[i]) <= self._longest:
+                    self._known[pieces[i]] = value
+        return values, irregular

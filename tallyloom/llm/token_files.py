@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import text_blocks, tokenizer_path, whole_texts
+from tallyloom.llm.common import tokenizer_path, whole_texts
 from tallyloom.llm.encoders import library_encoder
 
 ENCODINGS = ("delta", "dictionary")
@@ -48,9 +48,9 @@ def write_token_files(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place, part = library_encoder(vocabulary), 0, TaskContext.get().partitionId()
         for whole in batches:
-            texts = whole.column(1).to_pylist()
-            for start, stop in text_blocks(texts):
-                ids = [value + end for value in encoder.encode(texts[start:stop])]
+            for start in range(0, whole.num_rows, 1000):
+                stop = min(start + 1000, whole.num_rows)
+                ids = [value + end for value in encoder.encode(whole.column(1).slice(start, stop - start))]
                 counts = np.fromiter((len(value) // 4 for value in ids), np.int64, len(ids))
                 ends = np.cumsum(counts)
                 yield pa.RecordBatch.from_arrays(
