@@ -95,7 +95,7 @@ class RankEncoder:
     have a rank, that rank, which is also the identifier of the merged token.
     """
 
-    def __init__(self, path: str, pattern: str, memory: str = "300MB", words: int = 20_000, long: int = 128, limit: int = 300_000):
+    def __init__(self, path: str, pattern: str, memory: str = "300MB", words: int = 20_000, long: int = 128, limit: int = 600_000):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         merges = [
