@@ -129,7 +129,7 @@ def toxic_corpus(spark, n=900):
                 text.insert(rng.randrange(len(text)), rng.choice(["nasty", "Vile,", "rotten", "gemeinheiten"]))
         texts.append(" ".join(text))
     docs = documents(spark, texts)
-    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic) if i % 2 == 0 or t], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, t) for i, t in enumerate(toxic) if i % 5], "doc_id long, toxic int")
     return docs, labels, toxic
 
 
