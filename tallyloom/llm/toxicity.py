@@ -31,7 +31,7 @@ def word_features(piece: str) -> tuple[int, ...]:
 class Featurizer:
     """Feature values of texts, restricted to ``kept`` if given; remembers at most ``limit`` pieces."""
 
-    def __init__(self, kept: frozenset[int] | None = None, limit: int = 500_000):
+    def __init__(self, kept: frozenset[int] | None = None, limit: int = 100_000):
         self._kept, self._limit = kept, limit
         self._known: dict[str, tuple[int, ...]] = {}
 
