@@ -101,6 +101,24 @@ def test_traversal_of_equal_and_close_points():
     assert found == {(i, j) for i in range(6) for j in range(i + 1, 6) if x[i] @ x[j] >= 0.93}
 
 
+def beside_scaled_copies():
+    """Scaled copies of one direction, nearly equal but not bit for bit, beside a cluster of at least three levels that links with them."""
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=8)
+    copies = [base * scale for scale in (1.0, 1 / 3, 0.7, 7.1, 1e-3, 13.7)]
+    return np.array(copies + [base + rng.normal(size=8) * size for size in (0.02, 0.1, 0.3) for _ in range(20)])
+
+
+def test_traversal_of_scaled_copies_beside_a_deep_cluster():
+    x = np.array([unit(v) for v in beside_scaled_copies()])
+    assert len({row.tobytes() for row in x[:6]}) > 1
+    want = {(i, j) for i in range(len(x)) for j in range(i + 1, len(x)) if x[i] @ x[j] >= 0.93}
+    found = [(int(a), int(b)) for us, vs in close_pairs(x, x, 0.93, same=True) for a, b in zip(us, vs)]
+    assert len(want) > 200 and sorted(found) == sorted(want)
+    found = [(int(a), int(b)) for us, vs in close_pairs(x[:6], x[6:], 0.93) for a, b in zip(us, vs)]
+    assert sorted(found) == [(i, j - 6) for i, j in sorted(want) if i < 6 <= j]
+
+
 def test_top_scores_are_those_of_all_pairs(spark):
     rows = [(i, v, None, 1, 1, 1) for i, v, *_ in some_vectors()[:110]] + some_vectors()[110:115]
     rows += [(r[0] + 300, r[1], 0, 1, 1, 1) for r in rows[:40]] + [(None, [1.0] * 8, 0, 1, 1, 1), rows[0]]
