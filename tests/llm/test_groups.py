@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.cover_tree import close_pairs, similar_vectors
+from tallyloom.llm.shingle_links import shingles, similar_texts
 from tallyloom.llm.simhash import fingerprint, link_fingerprints, near_duplicates
 from tallyloom.llm.top_scores import exact_top_k
 from tallyloom.llm.toxicity import ToxicityModel, fit_toxicity, is_held_out, score_toxicity
@@ -195,3 +196,29 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     assert {row[0] for row in kept["packing"].select("doc_id").distinct().collect()} == unique
     assert all(kept[name].columns == list(corpus_pipeline.COLUMNS) for name, _ in corpus_pipeline.STAGES[:-1])
     assert corpus_pipeline.run(spark, str(tmp_path)).agg(F.sum("length")).first() == kept["packing"].agg(F.sum("length")).first()
+
+
+def near_copies():
+    """Texts with copies of which one word in so many is another, on both sides of the bound."""
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(400)]
+    texts = []
+    for _ in range(12):
+        text = rng.choices(words, k=rng.randint(6, 150))
+        texts.append(" ".join(text))
+        for one_in in (15, 25, 40, 60, 100):
+            texts.append(" ".join(w if rng.random() > 1 / one_in else rng.choice(words) for w in text))
+        texts.append(" ".join(text[: len(text) * 9 // 10]).upper())
+    return texts + texts[:3] + [" ", "", None, "one two", "One  two"]
+
+
+def test_near_duplicate_stage_is_all_pairs(spark, tmp_path):
+    texts = near_copies()
+    sets = [shingles(text or "") for text in texts]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = roots(len(sets), links)
+    prints = [fingerprint(text or "") for text in texts]
+    assert sum((prints[i] ^ prints[j]).bit_count() > 4 for i, j in links) > 10
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, texts), str(tmp_path)).collect()
+    assert sorted(row["doc_id"] for row in kept) == sorted(set(want))
+    assert similar_texts(documents(spark, [])).count() == 0
