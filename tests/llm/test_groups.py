@@ -222,3 +222,12 @@ def test_near_duplicate_stage_is_all_pairs(spark, tmp_path):
     kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, texts), str(tmp_path)).collect()
     assert sorted(row["doc_id"] for row in kept) == sorted(set(want))
     assert similar_texts(documents(spark, [])).count() == 0
+
+
+def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, nearer = base + " more", base + " and more"
+    rows = [(1, base), (None, near), (None, nearer), (None, "x y z"), (None, "X Y z"), (7, "other text"), (7, near), (8, base), (9, "Other text")]
+    docs = spark.createDataFrame([(i, text, None, None, 3) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert {(row["doc_id"], row["text"]) for row in kept} - {(None, "x y z"), (None, "X Y z")} == {(1, base), (7, "other text")} and len(kept) == 3
