@@ -5,7 +5,10 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,9 +30,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def whole_texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key and text only, so that other columns can neither clash nor be read; a null text is empty."""
-    return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text))
+def whole_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", *others: str) -> DataFrame:
+    """Key, text and named columns only, so that the rest can neither clash nor be read; a null text is empty."""
+    return docs.select(F.col(key), F.coalesce(F.col(text).cast("string"), F.lit("")).alias(text), *others)
 
 
 def renewed(df: DataFrame) -> DataFrame:
@@ -49,6 +52,16 @@ def text_blocks(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
+def byte_blocks(texts: pa.Array, size: int = 16_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of at most ``size`` bytes together, or of one longer text."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size, "right")))
+        yield start, stop
+        start = stop
+
+
 def is_finite_vector(column: Column) -> Column:
     """Not null, not empty, and every component a finite number."""
     return F.coalesce(

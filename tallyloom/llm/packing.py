@@ -29,24 +29,36 @@ class Limits:
 
 @dataclass
 class Piece:
-    """Neighbouring identifiers of one example; ``mask`` has a byte per identifier, 1 where it bears loss."""
+    """Neighbouring identifiers of one example, from ``start`` to ``stop``; ``bears`` has the running number of those that bear loss, from 0 on.
+
+    A cut shares the example's identifiers and running numbers, so a text of any length is cut in linear time.
+    """
 
     key: object
     start: int
-    ids: bytes
-    mask: np.ndarray
-    total: int
+    stop: int
+    all_ids: memoryview
+    bears: np.ndarray
+
+    @property
+    def ids(self) -> bytes:
+        return bytes(self.all_ids[4 * self.start : 4 * self.stop])
+
+    @property
+    def total(self) -> int:
+        return len(self.all_ids) // 4
 
     def demand(self) -> tuple[int, int, int]:
-        return len(self.ids) // 4, 1, int(self.mask.sum())
+        return self.stop - self.start, 1, int(self.bears[self.stop] - self.bears[self.start])
 
     def cut(self, tokens: int, loss: int) -> tuple[Piece, Piece] | None:
         """The longest beginning within both bounds, and the rest; None if not even one identifier fits."""
-        size = min(int(np.searchsorted(np.cumsum(self.mask), loss, "right")), tokens, len(self.mask))
-        if not size:
+        reach = min(self.start + tokens, self.stop)
+        bears = self.bears[self.start : reach + 1]
+        at = self.start + int(np.searchsorted(bears, bears[0] + loss, "right")) - 1
+        if at <= self.start:
             return None
-        first = Piece(self.key, self.start, self.ids[: 4 * size], self.mask[:size], self.total)
-        return first, Piece(self.key, self.start + size, self.ids[4 * size :], self.mask[size:], self.total)
+        return Piece(self.key, self.start, at, self.all_ids, self.bears), Piece(self.key, at, self.stop, self.all_ids, self.bears)
 
 
 class Packer:
@@ -69,14 +81,16 @@ class Packer:
         """Sequences as lists of pieces."""
         fresh: list[Piece] = []
         for key, ids, mask in examples:
-            rest = Piece(key, 0, ids, mask, len(ids) // 4)
-            while len(rest.ids) // 4 >= self._limits.tokens or int(rest.mask.sum()) > self._limits.loss:
+            rest = Piece(key, 0, len(mask), memoryview(ids), np.append(0, np.cumsum(mask, dtype=np.int64)))
+            size, _, loss = rest.demand()
+            while size >= self._limits.tokens or loss > self._limits.loss:
                 first, rest = rest.cut(self._limits.tokens, self._limits.loss)
-                if len(first.ids) // 4 == self._limits.tokens:
+                if first.stop - first.start == self._limits.tokens:
                     yield [first]
                 else:
                     fresh.append(first)
-            if rest.ids:
+                size, _, loss = rest.demand()
+            if size:
                 fresh.append(rest)
             if len(fresh) >= self._pending:
                 self._add(fresh)
@@ -139,8 +153,8 @@ def _sequences(examples: Iterable[tuple[object, bytes, np.ndarray]], limits: Lim
     for sequence in Packer(limits).pack(examples):
         offset = 0
         for piece in sequence:
-            length = len(piece.ids) // 4
-            rows.append((piece.key, piece.start, length, piece.total, int(piece.mask.sum()), number, offset, piece.ids))
+            length, _, loss = piece.demand()
+            rows.append((piece.key, piece.start, length, piece.total, loss, number, offset, piece.ids))
             offset += length
         number += 1
         if len(rows) >= 4000:

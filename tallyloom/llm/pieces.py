@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallyloom.llm.common import text_blocks
+from tallyloom.llm.common import byte_blocks, text_blocks
 
 
 class PieceCache:
@@ -93,71 +93,92 @@ def spaced(piece: str, first: bool) -> str | None:
     return piece if piece[0] == "\n" else " " + piece
 
 
+def gather(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` that begin at ``starts`` and hold ``counts`` values, one behind the other."""
+    ends = np.cumsum(counts)
+    return flat[np.repeat(starts - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Memory:
+    """Distinct strings with the identifiers that ``encode`` gives them, in flat arrays that numpy can gather from.
+
+    Arrow numbers the strings of a block together with those that are known, so no string is handled by Python. After a block that
+    leaves more than ``limit`` strings, the half of the limit that was met most often stays.
+    """
+
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int):
+        self._encode, self._limit = encode, limit
+        self._known = pa.array([], pa.string())
+        self._met = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self.starts = self.counts = np.zeros(0, np.int64)
+
+    def numbers(self, values: pa.Array) -> np.ndarray:
+        """The number of every string; until the next call ``starts`` and ``counts`` have the place of its identifiers in ``flat``."""
+        if len(self._known) > self._limit:
+            self._keep(np.sort(np.argsort(-self._met, kind="stable")[: self._limit // 2]))
+        held = len(self._known)
+        numbered = pa.concat_arrays([self._known, values]).dictionary_encode()
+        if len(numbered.dictionary) > held:
+            flat, counts = self._encode(numbered.dictionary.slice(held))
+            sizes = np.maximum(counts, 0)
+            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.counts = np.append(self.counts, counts)
+            self.flat = np.append(self.flat, flat)
+            self._known = numbered.dictionary
+            self._met = np.append(self._met, np.zeros(len(counts), np.int64))
+        which = numbered.indices.to_numpy()[held:]
+        self._met += np.bincount(which, minlength=len(self._met))
+        return which
+
+    def _keep(self, which: np.ndarray) -> None:
+        sizes = np.maximum(self.counts[which], 0)
+        self.flat = gather(self.flat, self.starts[which], sizes)
+        self.counts, self._met = self.counts[which], self._met[which]
+        self.starts = np.cumsum(sizes) - sizes
+        self._known = self._known.take(pa.array(which))
+
+
 class PieceTable:
-    """Little-endian 32-bit identifiers of whole texts in Arrow arrays, by the spaced forms of their distinct pieces.
+    """Little-endian 32-bit identifiers of whole texts in Arrow arrays, by their distinct pieces.
 
-    Texts are cut and their pieces numbered by Arrow; ``encode`` sees each new form once, and numpy gathers the
-    identifiers of a text from those of its pieces. Irregular texts go to ``encode`` whole. At most ``limit`` pieces are remembered.
+    Texts are cut and their pieces numbered by Arrow; ``encode`` sees each new piece once, and numpy gathers the
+    identifiers of a text from those of its pieces. ``encode`` gives the identifiers of pieces and their counts, -1 where a piece can't
+    stand alone; texts with such a piece go to ``whole``.
     """
 
     FIRST = "\x02"  #: stands before the first piece of a text; a text that holds it itself is irregular
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], whole: Callable[[list[str]], list[bytes]], limit: int = 500_000, longest: int = 48):
-        self._encode, self._whole, self._limit, self._longest = encode, whole, limit, longest
-        self._known: dict[str, bytes] = {}
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], whole: Callable[[list[str]], list[bytes]], limit: int = 900_000):
+        self._pieces, self._whole = Memory(encode, limit), whole
 
-    def encode(self, texts: pa.Array, block: int = 4_000_000) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array, block: int = 16_000_000) -> Iterator[bytes]:
         """The identifiers of every text; about ``block`` bytes are worked on at a time."""
-        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
-        start = 0
-        while start < len(texts):
-            done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + block, "right")))
+        for start, stop in byte_blocks(texts, block):
             yield from self._block(texts.slice(start, stop - start))
-            start = stop
+            pa.default_memory_pool().release_unused()
 
     def _block(self, texts: pa.Array) -> list[bytes]:
         marked = pc.binary_join_element_wise(self.FIRST, pc.replace_substring(texts, "\n", " \n"), "")
         lists = pc.split_pattern(marked, " ")
         offsets = lists.offsets.to_numpy()
-        numbered = lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
+        which = self._pieces.numbers(lists.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
         offsets = offsets - offsets[0]
-        values, irregular = self._of(numbered.dictionary.to_pylist())
-        which = numbered.indices.to_numpy()
-        sizes = np.fromiter(map(len, values), np.int64, len(values)) // 4
-        flat = np.frombuffer(b"".join(values), "<u4")
-        counts = sizes[which]
-        ends = np.append(0, np.cumsum(counts))
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], counts) + np.arange(ends[-1])].tobytes()
-        bounds = (4 * ends[offsets]).tolist()
-        found = [ids[a:b] for a, b in zip(bounds, bounds[1:])]
-        bad = np.append(0, np.cumsum(irregular[which]))
+        found: list[bytes] = []
+        bad = np.zeros(len(texts), bool)
+        for first in range(0, len(texts), 500):  # a bounded number of identifiers at a time
+            edges = offsets[first : first + 501]
+            here = which[edges[0] : edges[-1]]
+            alone = self._pieces.counts[here]
+            counts = np.maximum(alone, 0)
+            ends = np.append(0, np.cumsum(counts))
+            ids = memoryview(gather(self._pieces.flat, self._pieces.starts[here], counts)).cast("B")
+            bounds = (4 * ends[edges - edges[0]]).tolist()
+            found += [bytes(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+            odd = np.append(0, np.cumsum(alone < 0))[edges - edges[0]]
+            bad[first : first + 500] = odd[1:] > odd[:-1]
         marks = pc.match_substring(texts, self.FIRST).to_numpy(zero_copy_only=False)
-        whole = np.flatnonzero((bad[offsets[1:]] > bad[offsets[:-1]]) | marks).tolist()
+        whole = np.flatnonzero(bad | marks).tolist()
         for i, value in zip(whole, self._whole([texts[i].as_py() for i in whole]) if whole else []):
             found[i] = value
         return found
-
-    def _of(self, pieces: list[str]) -> tuple[list[bytes], np.ndarray]:
-        """Values of distinct pieces, and which of them can't stand alone."""
-        values = list(map(self._known.get, pieces))
-        holes = [i for i, value in enumerate(values) if value is None]
-        irregular = np.zeros(len(pieces), bool)
-        ask, forms = [], []
-        for i in holes:
-            piece = pieces[i]
-            form = piece[1:] if piece[:1] == self.FIRST else spaced(piece, False)
-            if form is None:
-                irregular[i] = True
-                values[i] = b""
-            else:
-                ask.append(i)
-                forms.append(form)
-        if ask:
-            if len(self._known) + len(ask) > self._limit:
-                self._known.clear()
-            for i, value in zip(ask, self._encode(forms)):
-                values[i] = value
-                if len(pieces[i]) <= self._longest:
-                    self._known[pieces[i]] = value
-        return values, irregular

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import tokenizer_path, whole_texts
+from tallyloom.llm.common import byte_blocks, tokenizer_path, whole_texts
 from tallyloom.llm.encoders import library_encoder
 
 ENCODINGS = ("delta", "dictionary")
@@ -34,22 +34,23 @@ def write_token_files(
     ``part`` is the range of keys that one task wrote and ``place`` the number of identifiers before the document in
     it, so a global position needs only the sums of the parts. Identifiers are delta-encoded or dictionary-encoded; a
     row group holds about ``row_group_bytes`` and a page at most ``page_rows`` rows, and the page index over the
-    sorted key lets a reader of a few keys skip the other pages.
+    sorted key lets a reader of a few keys skip the other pages. Ranges are over the key and that hash, so the rows of a repeated or null key
+    may lie in several parts.
 
     Null and empty texts hold the end identifier alone (nothing if ``end_id`` is None). Null keys come first, repeated
-    keys stand in the order of their texts. An empty table gives files without rows. Other columns are not read.
+    keys stand in the order of a hash of their texts. An empty table gives files without rows. Other columns are not read.
     """
     if encoding not in ENCODINGS:
         raise ValueError(f"encoding must be one of {ENCODINGS}")
     vocabulary = vocabulary or tokenizer_path("word_bpe_49k.json")
     end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-    ordered = whole_texts(docs, key, text).repartitionByRange(key).sortWithinPartitions(key, text)
+    mixed = F.xxhash64(text)  # spreads a repeated key, and is all of the texts that the choice of ranges samples
+    ordered = whole_texts(docs, key, text).repartitionByRange(key, mixed).sortWithinPartitions(key, mixed, text)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, place, part = library_encoder(vocabulary), 0, TaskContext.get().partitionId()
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                stop = min(start + 1000, whole.num_rows)
+            for start, stop in byte_blocks(whole.column(1)):
                 ids = [value + end for value in encoder.encode(whole.column(1).slice(start, stop - start))]
                 counts = np.fromiter((len(value) // 4 for value in ids), np.int64, len(ids))
                 ends = np.cumsum(counts)
