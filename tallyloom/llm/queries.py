@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from tallyloom.llm.byte_bpe import encode_digests
 from tallyloom.llm.common import read_table
 from tallyloom.llm.cover_tree import similar_vectors
+from tallyloom.llm.exact_fill import pack_best_fit, token_pieces
 from tallyloom.llm.packing import pack_documents
+from tallyloom.llm.periodic_runs import periodic_runs
 from tallyloom.llm.pii import BASE_KINDS as PII_KINDS
 from tallyloom.llm.pii import find_personal_data
 from tallyloom.llm.secret_scan import BASE_KINDS as SECRET_KINDS
 from tallyloom.llm.secret_scan import find_secrets
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.spans import count_of, joined, of_kinds
+from tallyloom.llm.spelling_variants import count_words, spelling_variants, words_of
 from tallyloom.llm.token_count import token_counts
 from tallyloom.llm.token_files import read_token_files, token_checksums, write_token_files
 from tallyloom.llm.top_scores import exact_top_k
@@ -132,9 +135,63 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return encode_digests(read_table(spark, folder, "documents"))
 
 
+def op11_exact_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into as few sequences of 2048 tokens as one plan for the whole table finds."""
+    pieces = token_pieces(read_table(spark, folder, "documents"), 2048)
+    slim = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return pack_best_fit(slim, 2048)
+
+
+def misspelt(words: DataFrame) -> DataFrame:
+    """One in 199 of the words, by a hash of document and word, lacks a letter."""
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("word")))
+    at = (F.col("h") % F.char_length("word")).cast("int")
+    shorter = F.concat(F.substring("word", F.lit(1), at), F.substring("word", at + 2, F.char_length("word")))
+    return words.withColumn("h", h).select("doc_id", F.when(F.col("h") % 199 == 0, shorter).otherwise(F.col("word")).alias("word"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """The frequent words of all documents with the more frequent words that they are one edit away from."""
+    words = words_of(read_table(spark, folder, "documents"), min_length=6)
+    return spelling_variants(count_words(misspelt(words), min_length=6, min_count=5))
+
+
+def with_periodic_ends(docs: DataFrame) -> DataFrame:
+    """One in ten documents, by a hash of the key, goes on from some word with a stretch that is repeated to its end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.col("text"), "[\\x20\\x09-\\x0D]+"), lambda word: word != "")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.select("doc_id", "text", "words", F.floor(F.col("h") / 10).alias("g"), F.size("words").alias("n"))
+    rows = rows.select("*", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int").alias("a"))
+    rows = rows.select("*", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int").alias("p"))
+    rest = F.col("n") - F.col("a")
+    copies = F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    changed = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(F.flatten(copies), F.lit(1), rest))
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of all documents, some of which are given one, and digests of the texts without them."""
+    found = periodic_runs(with_periodic_ends(read_table(spark, folder, "documents")))
+    order = lambda run: F.struct(run["length"].alias("length"), (-run["start"]).alias("before"), (-run["period"]).alias("shorter"))
+    longest = F.array_max(F.transform("runs", order))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-longest["before"]).alias("start"),
+        longest["length"].alias("length"),
+        (-longest["shorter"]).alias("period"),
+        F.floor(1000 * longest["length"] / -longest["shorter"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_token_files, op2_personal_data, op3_top_scores, op4_secrets, op5_packing, op6_cover_tree, op7_toxicity, op8_token_counts, op9_simhash, op10_byte_bpe,
+        op11_exact_fill, op12_spelling_variants, op13_periodic_runs,
     )
 }
 SQL: dict[str, str] = {"op3_top_scores": OP3_SQL, "op6_cover_tree": OP6_SQL}
