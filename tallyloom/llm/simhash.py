@@ -42,16 +42,19 @@ def fingerprint(text: str, words: int = 5, seed: int = 42) -> int:
     return int(np.packbits(2 * set_bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 5, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows ``key, fingerprint`` (the 64 bits as a signed long) of every text."""
-    slim = whole_texts(docs, key, text)
+def fingerprints(docs: DataFrame, words: int = 5, seed: int = 42, key: str = "doc_id", text: str = "text", mark: str | None = None) -> DataFrame:
+    """Rows ``key, fingerprint`` (the 64 bits as a signed long) of every text, with the column ``mark`` between them if one is named."""
+    slim = whole_texts(docs, key, text, *([mark] if mark else []))
+    names = [key, *([mark] if mark else [])]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = np.fromiter((fingerprint(value.as_py(), words, seed) for value in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], names=[key, "fingerprint"])
+            kept = [column for i, column in enumerate(batch.columns) if i != 1]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(values.view(np.int64))], names=[*names, "fingerprint"])
 
-    return slim.mapInArrow(of, f"`{key}` {slim.schema[key].dataType.simpleString()}, fingerprint long")
+    kinds = ", ".join(f"`{name}` {slim.schema[name].dataType.simpleString()}" for name in names)
+    return slim.mapInArrow(of, f"{kinds}, fingerprint long")
 
 
 def segment_bounds(segments: int) -> list[tuple[int, int]]:
@@ -104,6 +107,20 @@ def link_fingerprints(distinct: DataFrame, distance: int = 4, segments: int = 3)
     return connected_components(links.unionByName(known), "simhash")
 
 
+def fingerprint_groups(
+    docs: DataFrame, words: int = 5, distance: int = 4, segments: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text", mark: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The written rows of :func:`fingerprints`, and ``fingerprint, smallest, component`` of every distinct one.
+
+    Here a component is named by its smallest fingerprint, so that groups without any key are told apart; ``smallest`` is the smallest key of
+    the fingerprint, null if it has none.
+    """
+    prints = materialize(fingerprints(docs, words, seed, key, text, mark), "simhash-prints")
+    distinct = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("smallest")), "simhash-distinct")
+    linked = link_fingerprints(distinct, distance, segments).withColumnRenamed("node", "fingerprint")
+    return prints, distinct.join(linked, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, distance: int = 4, segments: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``key, fingerprint, component``: a component is the smallest key that links reach.
 
@@ -111,10 +128,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, distance: int = 4, segments
     other. A row without a key has the smallest key of its component, null if there is none. Repeated rows come out repeated, an empty table
     gives no rows, other columns are not read.
     """
-    prints = materialize(fingerprints(docs, words, seed, key, text), "simhash-prints")
-    distinct = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("smallest")), "simhash-distinct")
-    linked = link_fingerprints(distinct, distance, segments).withColumnRenamed("node", "fingerprint")
-    groups = distinct.join(linked, "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    prints, groups = fingerprint_groups(docs, words, distance, segments, seed, key, text)
     names = groups.groupBy("component").agg(F.min("smallest").alias("name"))
     named = groups.join(names, "component").select("fingerprint", F.col("name").alias("component"))
     return prints.join(named, "fingerprint").select(key, "fingerprint", "component")
+
+
+def one_of_each_group(docs: DataFrame, words: int = 5, distance: int = 4, segments: int = 3, seed: int = 42, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Of each group of near duplicates one whole row: that with the smallest key, without a key only if no row of the group has one.
+
+    Of rows that differ in text alone under that key one stays, and rows that agree in key and text are one row. An empty table gives no rows.
+    """
+    mark = "_row_of_key_and_text"
+    row = F.sha2(F.concat_ws("\x00", F.col(key).isNull().cast("string"), F.col(key).cast("string"), F.col(text).isNull().cast("string"), F.col(text)), 256)
+    marked = docs.withColumn(mark, row)
+    prints, groups = fingerprint_groups(marked, words, distance, segments, seed, key, text, mark)
+    member = prints.select(F.col(key).isNull().alias("keyless"), F.col(key).alias("of"), mark, "fingerprint")
+    first = F.min(F.struct("keyless", "of", mark)).alias("first")
+    # Copies are combined by fingerprint before they meet their groups.
+    firsts = member.groupBy("fingerprint").agg(first).join(groups.select("fingerprint", "component"), "fingerprint")
+    kept = firsts.groupBy("component").agg(F.min("first").alias("first")).select(F.col(f"first.{mark}").alias(mark))
+    return marked.join(kept, mark, "left_semi").dropDuplicates([mark]).select(*docs.columns)

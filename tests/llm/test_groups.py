@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tallyloom.llm.components import connected_components
 from tallyloom.llm.cover_tree import close_pairs, similar_vectors
-from tallyloom.llm.shingle_links import shingles, similar_texts
 from tallyloom.llm.simhash import fingerprint, link_fingerprints, near_duplicates
 from tallyloom.llm.top_scores import exact_top_k
 from tallyloom.llm.toxicity import ToxicityModel, fit_toxicity, is_held_out, score_toxicity
@@ -213,21 +212,22 @@ def near_copies():
 
 
 def test_near_duplicate_stage_is_all_pairs(spark, tmp_path):
-    texts = near_copies()
-    sets = [shingles(text or "") for text in texts]
-    links = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    want = roots(len(sets), links)
-    prints = [fingerprint(text or "") for text in texts]
-    assert sum((prints[i] ^ prints[j]).bit_count() > 4 for i, j in links) > 10
+    block = " ".join(f"b{i}" for i in range(300))  # stands in all of these, so many are near each other
+    texts = near_copies() + [f"{block} {a} {b}" for a in "uvwxyz" for b in ("", "q", "r s")] + ["a b c d"] * 40
+    prints = [fingerprint(text or "", 4) for text in texts]
+    links = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 4]
+    want = roots(len(prints), links)
+    assert len(set(want)) < len(set(texts)) - 20
     kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, texts), str(tmp_path)).collect()
     assert sorted(row["doc_id"] for row in kept) == sorted(set(want))
-    assert similar_texts(documents(spark, [])).count() == 0
+    assert corpus_pipeline.drop_near_duplicates(spark, documents(spark, []), str(tmp_path)).count() == 0
 
 
 def test_near_duplicate_stage_keeps_one_row_of_each_group(spark, tmp_path):
     base = " ".join(f"w{i}" for i in range(60))
-    near, nearer = base + " more", base + " and more"
-    rows = [(1, base), (None, near), (None, nearer), (None, "x y z"), (None, "X Y z"), (7, "other text"), (7, near), (8, base), (9, "Other text")]
+    rows = [(1, base), (None, base.upper()), (None, base + " "), (None, "x y z"), (None, "X Y z"), (7, "other text"), (7, base), (8, base), (9, "Other text"), (1, base)]
+    rows += [(None, "left alone"), (None, "left alone"), (None, None), (20, ""), (5, "one key"), (5, "two texts")]
     docs = spark.createDataFrame([(i, text, None, None, 3) for i, text in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
-    assert {(row["doc_id"], row["text"]) for row in kept} - {(None, "x y z"), (None, "X Y z")} == {(1, base), (7, "other text")} and len(kept) == 3
+    kept = [(row["doc_id"], row["text"]) for row in corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) == len(set(kept)) == 7
+    assert set(kept) - {(None, "x y z"), (None, "X Y z")} == {(1, base), (7, "other text"), (None, "left alone"), (20, ""), (5, "one key"), (5, "two texts")}
