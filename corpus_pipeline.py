@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import read_table
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.secret_scan import redact_secrets
-from tallyloom.llm.shingle_links import similar_texts, text_digest
+from tallyloom.llm.simhash import one_of_each_group
 from tallyloom.llm.toxicity import fit_toxicity, is_held_out, keep_below
 from tallyloom.session import materialize
 
@@ -23,17 +23,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates one row: that with the smallest key, without a key only if no row of the group has one.
-
-    Texts link at a Jaccard similarity of 0.8 or more of their five-word shingles. Of texts under one smallest key that with the smallest digest stays.
-    """
-    rows = docs.select(*COLUMNS, text_digest("text").alias("digest"))
-    groups = similar_texts(docs, words=5)
-    named = rows.select("doc_id", "digest").join(groups, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    first = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "digest")).alias("first"))
-    kept = first.select(F.col("first.digest").alias("kept_digest"), F.col("first.doc_id").alias("kept"))
-    chosen = rows.join(kept, (F.col("digest") == F.col("kept_digest")) & F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
-    return chosen.dropDuplicates(["digest", "doc_id"]).select(*COLUMNS)
+    """Of each group of near duplicates, by fingerprints of four-word shingles within four bits, the row with the smallest key."""
+    return one_of_each_group(docs.select(*COLUMNS), words=4, distance=4)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
