@@ -12,9 +12,8 @@ from tallyloom.functions.cardinality import DEFAULT_PRECISION
 from tallyloom.operators.batching import fixed_size_batches, with_index
 from tallyloom.operators.etl import Step, is_loadable, load_result_log, store_of, transform_or_keep, validate_not_null
 from tallyloom.operators.sketch import hll_build
-from tallyloom.operators.workflow import stage_reports, walk_reports
 from tallyloom.sources.sinks import STORE_COLUMN
-from tallyloom.streaming.jobs import batch_folder, folder_writer, latest_rows, read_batches, write_batches
+from tallyloom.streaming.jobs import batch_folder, folder_writer, read_batches, write_batches
 
 REGISTERS_SCHEMA = "precision int, bucket int, rank int"
 
@@ -79,24 +78,6 @@ def stored_registers(spark: SparkSession, target: str, by_schema: str = "") -> D
     )
 
 
-def workflow_stream(
-    events: DataFrame, target: str, checkpoint: str, keys: Sequence[str] = ("appointment_id",)
-) -> StreamingQuery:
-    """Keep the reports of every appointment and write the changed lists.
-
-    With an event-time column among the keys and a watermark on it, finished
-    appointments leave the state.
-    """
-    return write_batches(stage_reports(events, keys), folder_writer(target), checkpoint, "update")
-
-
-def stored_workflow_states(
-    spark: SparkSession, target: str, schema: StructType, keys: Sequence[str] = ("appointment_id",)
-) -> DataFrame:
-    """Workflow states from the newest reports that :func:`workflow_stream` has written."""
-    return walk_reports(latest_rows(read_batches(spark, target, schema), list(keys)), keys)
-
-
 def register_first_stream(
     records: DataFrame,
     key: str,

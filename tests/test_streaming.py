@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +14,7 @@ from tallyloom.operators import workflow
 from tallyloom.operators.sketch import hll_build, hll_estimate
 from tallyloom.session import scratch_path
 from tallyloom.sources.records import numbered_elements
-from tallyloom.streaming import flows
+from tallyloom.streaming import appointments, flows
 from tallyloom.streaming.jobs import (
     StreamJob,
     file_stream,
@@ -48,43 +50,55 @@ def test_sketch_grows_with_the_stream(spark):
     assert {r["g"]: r["estimate"] for r in hll_estimate(stored, ["g"]).collect()} == expected
 
 
-def stage_rows(spark):
-    rng = random.Random(5)
-    stages = workflow.WORKFLOW_STATUSES
-    rows = [
-        (str(rng.randrange(40)), "p", rng.choice(stages), dt.datetime(2025, 1, 1) + dt.timedelta(minutes=rng.randrange(500)))
-        for _ in range(600)
-    ]
-    return spark.createDataFrame(rows, "appointment_id string, patient_id string, status string, event_time timestamp_ntz")
+REPORTS = "appointment_id string, patient_id string, status string, event_time timestamp_ntz"
+NEW_YEAR = dt.datetime(2025, 1, 1)
+
+
+def run_workflow(spark, files, **options):
+    """Files of reports, one per micro-batch in this order; the progress rows and the target."""
+    path, target = scratch_path(spark, "reports"), scratch_path(spark, "wf")
+    for number, rows in enumerate(files):
+        spark.createDataFrame(rows, REPORTS).coalesce(1).write.parquet(f"{path}/{number:03}")
+        for file in Path(f"{path}/{number:03}".removeprefix("file:")).glob("part-*"):
+            os.utime(file, (number * 60 + 1e9,) * 2)
+    stream = file_stream(spark, f"{path}/*", spark.createDataFrame([], REPORTS).schema, 1)
+    query = appointments.workflow_stream(stream, target, scratch_path(spark, "ck"), **options)
+    query.awaitTermination()
+    return query.recentProgress, target
 
 
 def test_workflow_stream_equals_batch(spark):
-    rows = stage_rows(spark)
-    _, stream = as_stream(spark, rows)
-    target = scratch_path(spark, "wf")
-    flows.workflow_stream(stream, target, scratch_path(spark, "ck")).awaitTermination()
-    stored = flows.stored_workflow_states(spark, target, workflow.stage_reports(rows).schema)
-    expected = workflow.workflow_states(rows)
-    columns = [c for c in expected.columns if c != "metadata"]
-    assert stored.select(columns).exceptAll(expected.select(columns)).isEmpty()
-    assert stored.count() == expected.count()
-
-
-def test_finished_appointments_leave_the_state(spark):
-    """With a watermark on a grouping time the stream may append final states."""
-    rows = stage_rows(spark).withColumn("date_time", F.lit(dt.datetime(2025, 1, 1)).cast("timestamp"))
-    late = rows.limit(1).withColumn("date_time", F.lit(dt.datetime(2025, 2, 1)).cast("timestamp"))
-    path = scratch_path(spark, "input")
-    rows.coalesce(1).write.parquet(path)
-    stream = file_stream(spark, path, rows.schema, 1).withWatermark("date_time", "1 day")
-    keys = ["appointment_id", "date_time"]
-    target, checkpoint = scratch_path(spark, "wf"), scratch_path(spark, "ck")
-    query = lambda: write_batches(workflow.stage_reports(stream, keys), folder_writer(target), checkpoint)
-    query().awaitTermination()
-    late.write.mode("append").parquet(path)
-    query().awaitTermination()
-    schema = workflow.stage_reports(rows, keys).schema
-    assert read_batches(spark, target, schema).count() == rows.select("appointment_id").distinct().count()
+    rng = random.Random(5)
+    stages = [*workflow.WORKFLOW_STATUSES, "Asleep", None]
+    times = [NEW_YEAR + dt.timedelta(minutes=rng.randrange(3000)) for _ in range(600)]
+    rows = [(str(rng.randrange(40)), str(rng.randrange(3)), rng.choice(stages), None if rng.random() < 0.02 else time) for time in times]
+    rows.sort(key=lambda row: (row[3] or NEW_YEAR) + dt.timedelta(minutes=rng.randrange(600)))  # up to ten hours late
+    clock = [(None, None, None, NEW_YEAR + dt.timedelta(days=9))]
+    progress, target = run_workflow(spark, [rows[:150], rows[150:300], rows[300:450], rows[450:], clock], delay="11 hours", kept_days=10)
+    assert len(progress) >= 5 and not any(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress)
+    table = spark.createDataFrame(rows, REPORTS)
+    expected = {r["appointment_id"]: r for r in workflow.workflow_states(table).collect()}
+    assert {r["appointment_id"]: r for r in appointments.stored_workflow_states(spark, target).collect()} == expected
+    listed = lambda df: sorted(map(str, df.groupBy("appointment_id", "status", "event_time", "note").agg(F.sum("reports")).collect()))
+    assert listed(appointments.stored_workflow_refusals(spark, target)) == listed(workflow.workflow_refusals(table))
+    early = {(r["batch_id"], r["kind"]) for r in spark.read.parquet(target).select("batch_id", "kind").distinct().collect()}
+    assert {(2, "state"), (2, "refused")} <= early, "results come while the stream goes on"
+
+
+def test_finished_appointments_leave_the_state_and_old_reports_are_counted(spark):
+    day = lambda n: NEW_YEAR + dt.timedelta(days=n)
+    stages = workflow.WORKFLOW_STATUSES[:6]
+    done = [("a", "p", stage, day(0) + dt.timedelta(hours=i)) for i, stage in enumerate(stages)]
+    after = [("a", "q", "CheckedIn", day(3)), ("b", "p", "CheckedIn", day(3))]
+    progress, target = run_workflow(
+        spark, [done, after, [("b", "p", "CheckedIn", day(50))], [("b", "p", "Asleep", day(1))], [("c", "p", "CheckedIn", day(99))], [("d", "p", None, day(200))]],
+        delay="1 day", kept_days=10,
+    )
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 1
+    states = {r["appointment_id"]: (r["status"], r["refused"]) for r in appointments.stored_workflow_states(spark, target).collect()}
+    assert states == {"a": ("Completed", 1), "b": ("CheckedIn", 1), "c": ("CheckedIn", 0)}
+    # Left in the state: rows and timers of b and c and what waits of d, and nothing of a.
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] <= 6
 
 
 @pytest.mark.parametrize("within", [None, "30 days"])

@@ -43,6 +43,13 @@ def events(spark, rows):
     )
 
 
+def refused(spark_rows):
+    notes = {}
+    for r in workflow.workflow_refusals(spark_rows).collect():
+        notes.setdefault(r["appointment_id"], []).extend([r["note"]] * r["reports"])
+    return {key: sorted(found) for key, found in notes.items()}
+
+
 def test_states_from_events(spark):
     stages = list(workflow.STAGE_TIMES)
     rows = [("full", s, i) for i, s in enumerate(stages)]
@@ -50,12 +57,13 @@ def test_states_from_events(spark):
     rows += [("early", stages[0], 5), ("early", stages[1], 1)]
     rows += [("lost", stages[3], 1)]
     random.Random(1).shuffle(rows)
-    found = {r["appointment_id"]: r for r in workflow.workflow_states(events(spark, rows)).collect()}
-    assert found["full"]["status"] == "FollowUpScheduled" and found["full"]["notes"] == []
-    assert found["gap"]["status"] == "CheckedIn" and found["gap"]["notes"] == ["rejected AssessmentCompleted"]
+    table = events(spark, rows)
+    found = {r["appointment_id"]: r for r in workflow.workflow_states(table).collect()}
+    assert found["full"]["status"] == "FollowUpScheduled" and found["full"]["refused"] == 0
+    assert found["gap"]["status"] == "CheckedIn" and found["gap"]["refused"] == 1
     assert found["early"]["insurance_verified_at"] is None and found["early"]["status"] == "CheckedIn"
     assert found["lost"]["status"] is None and found["lost"]["metadata"] == {"events": "1"}
-    assert workflow.workflow_rejects(workflow.workflow_states(events(spark, rows))).count() == 3
+    assert refused(table) == {"gap": ["rejected AssessmentCompleted"], "early": [f"rejected {stages[1]}"], "lost": [f"rejected {stages[3]}"]}
 
 
 def test_later_legal_reports_count_and_all_reports_are_told(spark):
@@ -64,14 +72,64 @@ def test_later_legal_reports_count_and_all_reports_are_told(spark):
     rows += [("done", s, i) for i, s in enumerate(stages)] + [("done", "Completed", 9), ("done", "Cancelled", 10), ("done", stages[0], 11)]
     rows += [("off", stages[0], 0), ("off", "Cancelled", 1), ("off", stages[1], 2)]
     rows += [("odd", "Asleep", 0), ("odd", None, 1), ("odd", stages[0], 2), ("odd", stages[0], 3), ("odd", "Completed", 4)]
+    rows += [(None, stages[0], 0), (None, stages[1], 0), ("never", "Cancelled", 1), ("never", "Cancelled", 1)]
     random.Random(2).shuffle(rows)
     untimed = events(spark, [("odd", stages[1], 0)]).withColumn("event_time", F.lit(None).cast("timestamp_ntz"))
-    found = {r["appointment_id"]: r for r in workflow.workflow_states(events(spark, rows).unionByName(untimed)).collect()}
+    table = events(spark, rows).unionByName(untimed)
+    found = {r["appointment_id"]: r for r in workflow.workflow_states(table).collect()}
     assert found["again"]["status"] == stages[1] and found["again"]["insurance_verified_at"] == at(3)
-    assert found["again"]["notes"] == [f"rejected {stages[1]}"]
-    assert found["done"]["status"] == "Completed" and found["done"]["notes"] == ["rejected Cancelled", "rejected CheckedIn"]
-    assert found["off"]["status"] == "Cancelled" and found["off"]["notes"] == [f"rejected {stages[1]}"]
-    assert found["odd"]["status"] == stages[0] and len(found["odd"]["notes"]) == 5
+    assert found["done"]["status"] == "Completed" and found["off"]["status"] == "Cancelled" and found["odd"]["status"] == stages[0]
+    assert found[None]["status"] == stages[1] and (found["never"]["status"], found["never"]["patient_id"]) == ("Cancelled", "p")
+    notes = refused(table)
+    assert notes["again"] == [f"rejected {stages[1]}"] and notes["done"] == ["rejected Cancelled", "rejected CheckedIn"]
+    assert notes["off"] == [f"rejected {stages[1]}"] and len(notes["odd"]) == 5 and notes["never"] == ["rejected Cancelled"]
+    assert {key: r["refused"] for key, r in found.items() if r["refused"]} == {key: len(found) for key, found in notes.items()}
+
+
+def walk(reports):
+    """One appointment, report by report."""
+    place, times, patient, status, notes = -1, {}, None, None, []
+    order = lambda r: (r[1] is None, r[1] or 0, workflow.WORKFLOW_STATUSES.index(r[0]) if r[0] in workflow.WORKFLOW_STATUSES else 99, r[2])
+    for name, time, who in sorted(reports, key=order):
+        at = workflow.WORKFLOW_STATUSES.index(name) if name in workflow.WORKFLOW_STATUSES else 99
+        if time is not None and place < 5 and (at == 6 or at == place + 1 and at < 6):
+            patient = who if status is None else patient
+            place, status = at, name
+            times[name] = time
+        else:
+            notes.append(f"rejected {name}")
+    return patient, status, [times.get(stage) for stage in workflow.STAGE_TIMES], sorted(notes)
+
+
+def test_states_are_those_of_a_walk_with_a_hot_appointment(spark):
+    rng = random.Random(4)
+    rows = []
+    for a in ["hot"] * 1500 + [str(i) for i in range(300) for _ in range(rng.randint(1, 12))]:
+        status = rng.choices([*workflow.WORKFLOW_STATUSES, "Asleep"], [6, 6, 6, 6, 6, 3, 0 if a == "hot" and rng.random() > 0.01 else 1, 1])[0]
+        rows.append((a, str(rng.randrange(5)), status, None if rng.random() < 0.03 else at(rng.randrange(2000 if a == "hot" else 40))))
+    table = spark.createDataFrame(rows, "appointment_id string, patient_id string, status string, event_time timestamp_ntz").repartition(7)
+    want = {}
+    for a, who, status, time in rows:
+        want.setdefault(a, []).append((status, time, who))
+    want = {a: walk([(s, t and (t - DAY).total_seconds(), w) for s, t, w in reports]) for a, reports in want.items()}
+    notes = refused(table)
+    found = workflow.workflow_states(table).collect()
+    assert len(found) == len(want)
+    for r in found:
+        times = [r[name] and (r[name] - DAY).total_seconds() for name in workflow.STAGE_TIMES.values()]
+        got = (r["patient_id"], r["status"], times, notes.get(r["appointment_id"], []))
+        assert got == want[r["appointment_id"]], r["appointment_id"]
+
+
+def test_an_appointment_of_a_million_reports(spark):
+    stages = F.array(*[F.lit(s) for s in ("CheckedIn", "InsuranceVerified", "AssessmentCompleted", "Asleep")])
+    many = spark.range(1_000_000).select(
+        F.lit("one").alias("appointment_id"), F.lit("p").alias("patient_id"), F.element_at(stages, (F.col("id") % 4 + 1).cast("int")).alias("status"),
+        (F.lit(DAY).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("event_time"),
+    )
+    row = workflow.workflow_states(many).first()
+    assert (row["status"], row["refused"], row["metadata"]["events"]) == ("AssessmentCompleted", 999_997, "1000000")
+    assert workflow.workflow_refusals(many).agg(F.sum("reports")).first()[0] == 999_997
 
 
 def test_lookup_and_first(spark):
