@@ -64,20 +64,20 @@ def raw_estimate(registers: Column, harmonic_sum: Column) -> Column:
 RANGE_MESSAGE = "The sketch is beyond the range of 32-bit hashes; build it with a 64-bit hash"
 
 
-def corrected_estimate(registers: Column, raw: Column, zeros: Column, hash_bits: int = 32) -> Column:
+def corrected_estimate(registers: Column, raw: Column, zeros: Column, hash_bits: Column | int = 32) -> Column:
     """Small- and large-range corrections, truncated to bigint.
 
     Hashes of 32 bits need the large-range correction and fail the job where it has no answer; 64 bits need none.
     """
+    narrow = (hash_bits if isinstance(hash_bits, Column) else F.lit(hash_bits)) == 32
     m = registers.cast("double")
     linear = m * F.ln(m / F.nullif(zeros, F.lit(0)))
     small = raw <= F.lit(SMALL_RANGE_FACTOR) * m
     large = raw > F.lit(HASH_SPACE / 30.0)
     estimate = F.when(small & (zeros > 0), linear).when(small, raw)
-    if hash_bits == 32:
-        estimate = estimate.when(raw >= HASH_SPACE, F.raise_error(F.lit(RANGE_MESSAGE)).cast("double")).when(
-            large, F.lit(-HASH_SPACE) * F.ln(F.lit(1.0) - raw / F.lit(HASH_SPACE))
-        )
+    estimate = estimate.when(narrow & (raw >= HASH_SPACE), F.raise_error(F.lit(RANGE_MESSAGE)).cast("double")).when(
+        narrow & large, F.lit(-HASH_SPACE) * F.ln(F.lit(1.0) - raw / F.lit(HASH_SPACE))
+    )
     return estimate.otherwise(raw).cast("bigint")
 
 

@@ -10,10 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.cardinality import DEFAULT_PRECISION, check_precision
-from tallyloom.operators.sketch import hll_estimate, pack_registers, unpack_registers
+from tallyloom.operators.sketch import (
+    DEFAULT_HASH,
+    DENSE,
+    MIXED_HASHES,
+    MIXED_MESSAGE,
+    SPARSE,
+    encoded_registers,
+    hash_bits_of,
+    hll_estimate,
+    pack_registers,
+    stored_entries,
+    unpack_registers,
+)
 
+#: Every row names the hash of its registers and how they are encoded.
 STATE_SCHEMA = (
-    "hll_id int, precision int, buckets binary, created_date timestamp_ntz, last_updated_date timestamp_ntz"
+    "hll_id int, precision int, hash string, encoding string, buckets binary, created_date timestamp_ntz, last_updated_date timestamp_ntz"
 )
 _KEY = ["hll_id"]
 
@@ -30,19 +43,31 @@ def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE_SCHEMA)
 
 
-def init_sketch(state: DataFrame, ids: DataFrame, precision: int = DEFAULT_PRECISION, now: Column | None = None) -> DataFrame:
-    """Replace or create the sketches of ``ids.hll_id`` with zeroed ones."""
+def init_sketch(
+    state: DataFrame,
+    ids: DataFrame,
+    precision: int = DEFAULT_PRECISION,
+    now: Column | None = None,
+    hash_name: str = DEFAULT_HASH,
+    encoding: str = DENSE,
+) -> DataFrame:
+    """Replace or create the sketches of ``ids.hll_id`` with empty ones of that hash; a dense one is all zeros, a sparse one has no bytes."""
     check_precision(precision)
+    hash_bits_of(hash_name)
+    if encoding not in (DENSE, SPARSE):
+        raise ValueError(f"encoding must be {DENSE} or {SPARSE}")
     now = utc_now() if now is None else now
     ids = ids.select("hll_id").distinct()
-    zeroed = ids.select(
+    empty = ids.select(
         F.col("hll_id").cast("int"),
         F.lit(precision).alias("precision"),
-        F.unhex(F.repeat(F.lit("00"), 1 << precision)).alias("buckets"),
+        F.lit(hash_name).alias("hash"),
+        F.lit(encoding).alias("encoding"),
+        F.unhex(F.repeat(F.lit("00"), 1 << precision) if encoding == DENSE else F.lit("")).alias("buckets"),
         now.alias("created_date"),
         now.alias("last_updated_date"),
     )
-    return state.join(ids, "hll_id", "left_anti").unionByName(zeroed)
+    return state.join(ids, "hll_id", "left_anti").unionByName(empty)
 
 
 def _cells(buckets: str) -> str:
@@ -50,38 +75,48 @@ def _cells(buckets: str) -> str:
 
 
 def upsert_sketch(state: DataFrame, delta: DataFrame, now: Column | None = None) -> DataFrame:
-    """Merge the long-form ``delta`` (``hll_id, precision, bucket, rank``) into ``state``.
+    """Merge the long-form ``delta`` (``hll_id, precision, hash, bucket, rank``) into ``state``.
 
     ``last_updated_date`` moves only where a register grew. State and delta are
     read once and meet in one join; registers are compared byte by byte inside
-    the row. Ids without a sketch are an error, as is a different precision.
+    the row. A sparse sketch stays sparse until a dense one is shorter. Ids without a sketch are an error, as is a different
+    precision or hash.
     """
     now = utc_now() if now is None else now
     new = pack_registers(delta, _KEY).select(
-        "hll_id", F.col("precision").alias("_precision"), F.col("buckets").alias("_buckets")
+        "hll_id", F.col("precision").alias("_precision"), F.col("hash").alias("_hash"), F.col("buckets").alias("_buckets")
     )
+    dense_of = encoded_registers(stored_entries(F.col("buckets"), F.col("encoding")), F.col("precision"), F.lit(DENSE))
     larger = F.expr(
-        f"unhex(array_join(zip_with({_cells('buckets')}, {_cells('_buckets')}, (a, b) -> hex(greatest(a, b))), ''))"
+        f"unhex(array_join(zip_with({_cells('_dense')}, {_cells('_buckets')}, (a, b) -> hex(greatest(a, b))), ''))"
     )
     found = F.col("precision").isNotNull()
-    same = F.col("_precision").isNull() | (F.col("_precision") == F.col("precision"))
+    differ = lambda message, one, other: F.raise_error(F.concat(F.lit(f"{message}: "), F.col(one).cast("string"), F.lit(", "), F.col(other).cast("string")))
     checked = (
         F.when(~found, F.raise_error(F.lit("Sketch with specified ID not found")).cast("int"))
-        .when(~same, F.raise_error(F.lit("Cannot merge sketches with different precisions")).cast("int"))
+        .when(F.col("_precision") != F.col("precision"), differ(MIXED_MESSAGE, "precision", "_precision").cast("int"))
+        .when(F.col("_hash") != F.col("hash"), differ(MIXED_HASHES, "hash", "_hash").cast("int"))
         .otherwise(F.col("precision"))
     )
+    touched = F.col("_buckets").isNotNull()
+    sparse = encoded_registers(stored_entries(F.col("_merged"), F.lit(DENSE)), F.col("precision"), F.lit(SPARSE))
+    kept = F.struct("encoding", "buckets")
+    merged = F.struct(F.lit(DENSE).alias("encoding"), F.col("_merged").alias("buckets"))
+    stored = F.when(~touched, kept).when(F.col("encoding") == SPARSE, sparse).otherwise(merged)
     return (
         state.join(new, "hll_id", "full")
         .withColumn("precision", checked)
-        .withColumn("_merged", F.when(F.col("_buckets").isNull(), F.col("buckets")).otherwise(larger))
+        .withColumn("_dense", F.when(F.col("encoding") == SPARSE, dense_of["buckets"]).otherwise(F.col("buckets")))
+        .withColumn("_merged", F.when(touched, larger))
+        .withColumn("_stored", stored)
         .select(
             "hll_id",
             "precision",
-            F.col("_merged").alias("buckets"),
+            "hash",
+            F.col("_stored.encoding").alias("encoding"),
+            F.col("_stored.buckets").alias("buckets"),
             "created_date",
-            F.when(F.col("_merged") != F.col("buckets"), now).otherwise(F.col("last_updated_date")).alias(
-                "last_updated_date"
-            ),
+            F.when(F.col("_merged") != F.col("_dense"), now).otherwise(F.col("last_updated_date")).alias("last_updated_date"),
         )
     )
 
@@ -93,7 +128,7 @@ def merge_into(state: DataFrame, target_id: int, source_id: int, now: Column | N
 
 
 def hll_estimates(state: DataFrame) -> DataFrame:
-    """``(hll_id, estimate)`` of every stored sketch."""
+    """``(hll_id, estimate)`` of every stored sketch, each by the range of its own hash."""
     return hll_estimate(unpack_registers(state, _KEY), _KEY).select("hll_id", "estimate")
 
 

@@ -27,27 +27,35 @@ def sql_hash(element: str) -> str:
     return f"('0x' || {swapped})::bigint"
 
 
-def sql_registers(source: str, element: str, precision: int, by: str = "") -> str:
-    """Registers in SQL: ``by, bucket, rank`` of ``source``."""
+def sql_hash64(element: str) -> str:
+    """The 64-bit hash of a text expression, in SQL."""
+    digest = f"sha256({element})"
+    swapped = " || ".join(f"substr({digest}, {at}, 2)" for at in (15, 13, 11, 9, 7, 5, 3, 1))
+    return f"('0x' || {swapped})::ubigint"
+
+
+def sql_registers(source: str, element: str, precision: int, by: str = "", wide: bool = False) -> str:
+    """Registers in SQL: ``by, bucket, rank`` of ``source``; ``wide`` takes the 64-bit hash."""
     keys = f"{by}, " if by else ""
-    window = 32 - precision
+    window = (64 if wide else 32) - precision
     return f"""
       select {keys}h & {(1 << precision) - 1} as bucket,
              max(case when h >> {precision} = 0 then {window + 1}
                       else {window} - length(bin(h >> {precision})) + 1 end)::integer as rank
-      from (select {keys}{sql_hash(element)} as h from {source} where {element} is not null)
+      from (select {keys}{(sql_hash64 if wide else sql_hash)(element)} as h from {source} where {element} is not null)
       group by all"""
 
 
-def sql_estimate(registers: str, precision: int, by: str = "") -> str:
-    """``by, zeros, raw, estimate`` in SQL, from registers."""
+def sql_estimate(registers: str, precision: int, by: str = "", wide: bool = False) -> str:
+    """``by, zeros, raw, estimate`` in SQL, from registers; those of the 64-bit hash have no upper range."""
+    upper = "" if wide else "when raw > 4294967296e0 / 30 then -4294967296e0 * ln(1 - raw / 4294967296e0)"
     m = 1 << precision
     keys = f"{by}, " if by else ""
     alpha = f"(0.7213e0 / (1.0e0 + 1.079e0 / {m}) * {m}e0 * {m}e0)"
     return f"""
       select {keys}zeros, raw,
              trunc(case when raw <= 2.5 * {m} and zeros > 0 then {m}e0 * ln({m}e0 / zeros)
-                        when raw > 4294967296e0 / 30 then -4294967296e0 * ln(1 - raw / 4294967296e0)
+                        {upper}
                         when raw is null then 0 else raw end)::bigint as estimate
       from (select {keys}{m} - count(*) as zeros,
                    {alpha} / (sum(pow(2e0, -rank)) + {m} - count(*)) as raw
@@ -63,13 +71,6 @@ def hll_registers_by_kind(spark: SparkSession, folder: str) -> DataFrame:
     return built.select("kind", "bucket", "rank")
 
 
-def sql_hash64(element: str) -> str:
-    """The 64-bit hash of a text expression, in SQL."""
-    digest = f"sha256({element})"
-    swapped = " || ".join(f"substr({digest}, {at}, 2)" for at in (15, 13, 11, 9, 7, 5, 3, 1))
-    return f"('0x' || {swapped})::ubigint"
-
-
 @query("""
 select l_returnflag, bucket::integer as bucket, max(case when above = 0 then 51 else 51 - length(bin(above)) end)::integer as rank
 from (select l_returnflag, h & 16383 as bucket, h >> 14 as above
@@ -200,13 +201,13 @@ def compare_counts_by_kind(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _sweep_sql(precision: int) -> str:
-    registers = sql_registers(PART_EVENTS, "user_id", precision, "l_returnflag")
+def _sweep_sql(precision: int, wide: bool = False) -> str:
+    registers = sql_registers(PART_EVENTS, "user_id", precision, "l_returnflag", wide)
     return f"""
       select l_returnflag, {precision} as precision, {1 << precision}::bigint as buckets,
              {(1 << precision) / 1024}::double as memory_kb, exact_count, estimate,
              round(abs(exact_count - estimate) * 100.0e0 / exact_count, 6) as error_percentage
-      from ({sql_estimate(registers, precision, 'l_returnflag')})
+      from ({sql_estimate(registers, precision, 'l_returnflag', wide)})
       join (select l_returnflag, count(distinct l_partkey) as exact_count from lineitem group by 1)
       using (l_returnflag)"""
 
@@ -217,6 +218,25 @@ def precision_sweep_parts(spark: SparkSession, folder: str) -> DataFrame:
     return swept.withColumn("error_percentage", F.round("error_percentage", 6))
 
 
+@query(" union all ".join(_sweep_sql(p, True) for p in (8, 10, 12, 14, 16)))
+def precision_sweep_of_64_bits(spark: SparkSession, folder: str) -> DataFrame:
+    """The same at 64 bits: all precisions folded from the finest."""
+    lines = read_table(spark, folder, "lineitem")
+    swept = sketch.precision_sweep(lines, "l_partkey", by=["l_returnflag"], hash_name="sha256_64")
+    return swept.withColumn("error_percentage", F.round("error_percentage", 6))
+
+
+@query(f"""
+select kind, 12 as precision, exact as actual_unique_count, estimate as estimated_count,
+       round(abs(exact - estimate) * 100.0e0 / exact, 6) as error_percentage, 4096::bigint as memory_used_bytes
+from ({sql_estimate(sql_registers(EVENTS, 'user_id', 12, 'kind', True), 12, 'kind', True)})
+join (select kind, count(distinct user_id) as exact from {EVENTS} group by 1) using (kind)
+""")
+def exact_vs_estimate_of_64_bits(spark: SparkSession, folder: str) -> DataFrame:
+    compared = sketch.exact_vs_estimate(user_events(spark, folder), "user_id", 12, ["kind"], "sha256_64")
+    return compared.withColumn("error_percentage", F.round("error_percentage", 6))
+
+
 def _size_sql(share: int) -> str:
     total = "(select count(*) from orders)"
     source = f"(select 'user_' || o_orderkey as element from orders where o_orderkey < {total} // {share})"
@@ -373,6 +393,39 @@ def estimates_view(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(f"SELECT hll_id, estimate FROM {view} WHERE estimate > 0")
 
 
+_WIDE_STATE = sql_registers("(select l_partkey::varchar as user_id, ascii(l_returnflag) as hll_id from lineitem)", "user_id", 14, "hll_id", True)
+
+
+@query(f"""
+select hll_id, 'sha256_64' as hash, case when 3 * n < 16384 then 'sparse' else 'dense' end as encoding,
+       (case when 3 * n < 16384 then 3 * n else 16384 end)::integer as bytes, estimate
+from (select hll_id, count(*) as n from ({_WIDE_STATE}) group by 1) join ({sql_estimate(_WIDE_STATE, 14, "hll_id", True)}) using (hll_id)
+""")
+def stored_sketches_of_64_bits(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketches that were stored sparse where that is shorter, filled in two steps, written, read and estimated as what they say they are."""
+    parts = read_table(spark, folder, "lineitem").select(F.ascii("l_returnflag").alias("hll_id"), F.col("l_partkey").alias("part"))
+    state = sketch_state.init_sketch(sketch_state.empty_state(spark), parts, 14, hash_name="sha256_64", encoding=sketch.SPARSE)
+    for rest in (0, 1):
+        delta = sketch.hll_build(parts.where(F.col("part") % 2 == rest), "part", 14, ["hll_id"], "sha256_64")
+        state = materialize(sketch_state.upsert_sketch(state, delta), "state_of_64_bits")
+    estimates = sketch_state.hll_estimates(state)
+    return state.select("hll_id", "hash", "encoding", F.length("buckets").alias("bytes")).join(estimates, "hll_id")
+
+
+_MERGED = EVENTS.replace("o_orderstatus as kind", "case when o_orderstatus = 'P' then 'O' else o_orderstatus end as kind")
+
+
+@query(f"""
+select ascii(kind) as hll_id, estimate from ({sql_estimate(sql_registers(_MERGED, 'user_id', 12, 'kind'), 12, 'kind')})
+union all
+select ascii(kind), estimate from ({sql_estimate(sql_registers(EVENTS, 'user_id', 12, 'kind'), 12, 'kind')}) where kind = 'P'
+""")
+def stored_merge_of_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """One stored sketch merged into another; the source stays."""
+    merged = sketch_state.merge_into(_stored_state(spark, folder), ord("O"), ord("P"))
+    return sketch_state.hll_estimates(materialize(merged, "merged_state")).where("estimate > 0")
+
+
 @query(f"""
 select o_orderkey, h as hash, case when h >> 12 = 0 then 20 else 20 - length(bin(h >> 12)) end as zeros,
        round(0.7213e0 / (1 + 1.079e0 / 4096) * 4096e0 * 4096e0, 3) as alpha
