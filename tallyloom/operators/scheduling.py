@@ -91,6 +91,40 @@ def room_conflicts(bookings: DataFrame, room: str = "room_id", start: str = "sta
     )
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def conflicting_bookings(
+    wanted: DataFrame, bookings: DataFrame, bucket: str = "1 hour", key: str = "id", room: str = "room_id", start: str = "start", end: str = "end"
+) -> DataFrame:
+    """``key, other, room, overlap_start, overlap_end``: which bookings collide with each of the ``wanted`` ones.
+
+    Both sides stand in every time bucket that they meet and join on room and bucket; a pair is told by the first bucket that both meet,
+    so it comes out once and no rooms' bookings are paired beyond a bucket. The work is that of the buckets and of the result; a
+    ``bucket`` near the usual length of a booking keeps both small. A booking never collides with its own ``key``, in either table. Those that
+    do not end after they start, or lack a room or a time, hinder nobody. An empty table gives no rows.
+    """
+    width = f"timestampdiff(MICROSECOND, {_EPOCH}, {_EPOCH} + INTERVAL {bucket})"
+    since = lambda name: f"timestampdiff(MICROSECOND, {_EPOCH}, cast(`{name}` as timestamp_ntz))"
+
+    def bucketed(df: DataFrame, side: str) -> DataFrame:
+        valid = df.where((F.col(start) < F.col(end)) & F.col(room).isNotNull())
+        first, last = F.expr(f"floor({since(start)} / {width})"), F.expr(f"floor(({since(end)} - 1) / {width})")
+        named = valid.select(F.col(key).alias(f"{side}_key"), F.col(room).alias("_room"), F.col(start).alias(f"{side}_start"), F.col(end).alias(f"{side}_end"), first.alias(f"{side}_first"), last.alias("_last"))
+        return named.withColumn("_bucket", F.explode(F.sequence(f"{side}_first", "_last"))).drop("_last")
+
+    met = bucketed(wanted, "_a").join(bucketed(bookings, "_b"), ["_room", "_bucket"])
+    overlap = (F.col("_a_start") < F.col("_b_end")) & (F.col("_b_start") < F.col("_a_end")) & ~F.col("_a_key").eqNullSafe(F.col("_b_key"))
+    once = F.col("_bucket") == F.greatest("_a_first", "_b_first")
+    return met.where(overlap & once).select(
+        F.col("_a_key").alias(key),
+        F.col("_b_key").alias("other"),
+        F.col("_room").alias(room),
+        F.greatest("_a_start", "_b_start").alias("overlap_start"),
+        F.least("_a_end", "_b_end").alias("overlap_end"),
+    )
+
+
 def room_queue(bookings: DataFrame, room: str = "room_id", start: str = "start", end: str = "end") -> DataFrame:
     """``room, start, bookings, busy_until``: when each start time finds its room still taken.
 

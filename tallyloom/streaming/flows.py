@@ -11,11 +11,11 @@ from pyspark.sql.types import StructType
 from tallyloom.functions.cardinality import DEFAULT_PRECISION
 from tallyloom.operators.batching import fixed_size_batches, with_index
 from tallyloom.operators.etl import Step, is_loadable, load_result_log, store_of, transform_or_keep, validate_not_null
-from tallyloom.operators.sketch import hll_build
+from tallyloom.operators.sketch import DEFAULT_HASH, REGISTER, hll_build
 from tallyloom.sources.sinks import STORE_COLUMN
-from tallyloom.streaming.jobs import batch_folder, folder_writer, read_batches, write_batches
+from tallyloom.streaming.jobs import batch_folder, finished_batches, folder_writer, path_exists, read_batches, write_batches
 
-REGISTERS_SCHEMA = "precision int, bucket int, rank int"
+REGISTERS_SCHEMA = "precision int, hash string, bucket int, rank int"
 
 
 def streaming_etl(
@@ -53,29 +53,75 @@ def incremental_hll(
     checkpoint: str,
     precision: int = DEFAULT_PRECISION,
     by: Sequence[str] = (),
+    hash_name: str = DEFAULT_HASH,
 ) -> StreamingQuery:
     """Add a stream of elements to a persisted sketch.
 
     Each micro-batch writes its own registers. Registers only grow and merge by
-    maximum, so no state store is needed and a replayed batch changes nothing.
+    maximum, so no state store is needed and a replayed batch changes nothing. :func:`compact_registers` keeps the number of
+    folders that a reader must open small.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        folder_writer(target)(hll_build(batch, element, precision, by), batch_id)
+        folder_writer(target)(hll_build(batch, element, precision, by, hash_name), batch_id)
 
     return write_batches(elements, add, checkpoint)
 
 
+def _registers_schema(by_schema: str) -> StructType:
+    return StructType.fromDDL(f"{by_schema}, {REGISTERS_SCHEMA}" if by_schema else REGISTERS_SCHEMA)
+
+
 def stored_registers(spark: SparkSession, target: str, by_schema: str = "") -> DataFrame:
-    """The sketch that :func:`incremental_hll` has written, merged over its micro-batches."""
-    ddl = f"{by_schema}, {REGISTERS_SCHEMA}" if by_schema else REGISTERS_SCHEMA
-    schema = StructType.fromDDL(ddl)
-    by = [name for name in schema.fieldNames() if name not in ("precision", "bucket", "rank")]
-    return (
-        read_batches(spark, target, schema)
-        .groupBy(*by, "precision", "bucket")
-        .agg(F.max("rank").alias("rank"))
-    )
+    """The sketch that :func:`incremental_hll` has written: the newest snapshot merged with the micro-batches after it."""
+    schema = _registers_schema(by_schema)
+    through = snapshot_through(spark, target)
+    rows = read_batches(spark, target, schema)
+    if through is not None:
+        newer = rows.where(F.col("batch_id") > through).drop("batch_id")
+        rows = newer.unionByName(spark.read.schema(schema).parquet(_snapshot(target, through)))
+    by = [name for name in schema.fieldNames() if name not in REGISTER]
+    merged = rows.groupBy(*by, "precision", "hash", "bucket").agg(F.max("rank").alias("rank"))
+    return merged.select(*by, *REGISTER)
+
+
+def _snapshot(target: str, through: int) -> str:
+    return f"{target.rstrip('/')}_snapshots/through={through}"
+
+
+def _manifest(target: str) -> str:
+    return f"{target.rstrip('/')}_manifest"
+
+
+def snapshot_through(spark: SparkSession, target: str) -> int | None:
+    """The last micro-batch that the newest snapshot holds; None without one."""
+    if not path_exists(spark, _manifest(target)):
+        return None
+    return spark.read.schema("through bigint").parquet(_manifest(target)).agg(F.max("through")).first()[0]
+
+
+def compact_registers(spark: SparkSession, target: str, by_schema: str = "") -> int | None:
+    """Merge the newest snapshot and all finished micro-batches after it into a new one; returns the last micro-batch it holds.
+
+    The snapshot is written beside the micro-batches and counts from the moment its one row stands in the manifest, which is written last. If the
+    work ends before that, readers go on with what they had, and the next call writes the same folder again. A micro-batch that is replayed
+    after it went into a snapshot changes nothing, as registers merge by their maximum. The stream may run meanwhile: a micro-batch counts as
+    finished when its writer has said so. Folders up to the returned number are not read any more and may be removed.
+    """
+    finished = finished_batches(spark, target)
+    before = snapshot_through(spark, target)
+    if not finished or (before is not None and finished[-1] <= before):
+        return before
+    through = finished[-1]
+    schema = _registers_schema(by_schema)
+    rows = read_batches(spark, target, schema).where(F.col("batch_id") <= through)
+    if before is not None:
+        rows = rows.where(F.col("batch_id") > before).unionByName(spark.read.schema(schema).parquet(_snapshot(target, before)), allowMissingColumns=True)
+    by = [name for name in schema.fieldNames() if name not in REGISTER]
+    merged = rows.groupBy(*by, "precision", "hash", "bucket").agg(F.max("rank").alias("rank")).select(*schema.fieldNames())
+    merged.write.mode("overwrite").parquet(_snapshot(target, through))
+    spark.createDataFrame([(through,)], "through bigint").coalesce(1).write.mode("append").parquet(_manifest(target))
+    return through
 
 
 def register_first_stream(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import random
+import shutil
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ from tallyloom.streaming.jobs import (
     StreamJob,
     file_stream,
     folder_writer,
+    late_rows,
     latest_rows,
     progress_feed,
     progress_messages,
@@ -39,8 +41,9 @@ def test_sketch_grows_with_the_stream(spark):
     path, stream = as_stream(spark, rows)
     target, checkpoint = scratch_path(spark, "hll"), scratch_path(spark, "ck")
     flows.incremental_hll(stream, "element", target, checkpoint, 12, ["g"]).awaitTermination()
-    got = {tuple(r) for r in flows.stored_registers(spark, target, "g string").collect()}
-    assert got == {tuple(r) for r in hll_build(rows, "element", 12, ["g"]).select("g", "precision", "bucket", "rank").collect()}
+    columns = ["g", "precision", "hash", "bucket", "rank"]
+    got = {tuple(r) for r in flows.stored_registers(spark, target, "g string").select(columns).collect()}
+    assert got == {tuple(r) for r in hll_build(rows, "element", 12, ["g"]).select(columns).collect()}
     more = numbered_elements(spark, 3000, start=3000).withColumn("g", F.lit("0"))
     more.write.mode("append").parquet(path)
     flows.incremental_hll(stream, "element", target, checkpoint, 12, ["g"]).awaitTermination()
@@ -101,6 +104,48 @@ def test_finished_appointments_leave_the_state_and_old_reports_are_counted(spark
     assert progress[-1]["stateOperators"][0]["numRowsTotal"] <= 6
 
 
+def test_snapshots_survive_an_end_between_their_steps(spark, monkeypatch):
+    rows = numbered_elements(spark, 6000).withColumn("g", (F.col("index") % 2).cast("string"))
+    path, stream = as_stream(spark, rows, files=4)
+    target, checkpoint = scratch_path(spark, "hll"), scratch_path(spark, "ck")
+    order = ["g", "precision", "hash", "bucket", "rank"]
+    stored = lambda: sorted(map(tuple, flows.stored_registers(spark, target, "g string").select(order).collect()))
+    direct = lambda df: sorted(map(tuple, hll_build(df, "element", 10, ["g"], "sha256_64").select(order).collect()))
+    assert flows.compact_registers(spark, target, "g string") is None
+    flows.incremental_hll(stream, "element", target, checkpoint, 10, ["g"], "sha256_64").awaitTermination()
+    with monkeypatch.context() as patched:
+        patched.setattr(spark, "createDataFrame", lambda *_: 1 / 0)  # the end comes before the manifest
+        with pytest.raises(ZeroDivisionError):
+            flows.compact_registers(spark, target, "g string")
+    assert flows.snapshot_through(spark, target) is None and stored() == direct(rows)
+    assert flows.compact_registers(spark, target, "g string") == 3 == flows.compact_registers(spark, target, "g string")
+    assert stored() == direct(rows)
+    more = numbered_elements(spark, 3000, start=3000).withColumn("g", F.lit("0"))
+    more.coalesce(1).write.mode("append").parquet(path)
+    flows.incremental_hll(stream, "element", target, checkpoint, 10, ["g"], "sha256_64").awaitTermination()
+    assert stored() == direct(rows.unionByName(more)) and flows.snapshot_through(spark, target) == 3
+    for number in range(4):  # these folders are not read any more
+        shutil.rmtree(Path(target.removeprefix("file:")) / f"batch_id={number}")
+    assert stored() == direct(rows.unionByName(more))
+    # A replayed micro-batch that a snapshot holds changes nothing, and one that isn't finished is not taken.
+    folder_writer(target)(hll_build(rows.where("index < 100"), "element", 10, ["g"], "sha256_64"), 2)
+    (Path(target.removeprefix("file:")) / "batch_id=5").mkdir()
+    assert flows.compact_registers(spark, target, "g string") == 4 and stored() == direct(rows.unionByName(more))
+
+
+def test_repeats_within_the_watermark_and_late_ones(spark):
+    time = lambda minute: NEW_YEAR + dt.timedelta(minutes=minute)
+    path, target = scratch_path(spark, "twice"), scratch_path(spark, "once")
+    for number, minutes in enumerate([range(0, 60), [*range(60, 120), *range(30, 60)], [*range(120, 180), *range(0, 20), 95, 95]]):
+        frame = spark.createDataFrame([(m, time(m)) for m in minutes], "k int, t timestamp_ntz")
+        frame.coalesce(1).write.parquet(f"{path}/{number}")
+    stream = file_stream(spark, f"{path}/*", frame.schema, 1)
+    query = flows.register_first_stream(stream, "k", "t", target, scratch_path(spark, "ck"), "40 minutes")
+    query.awaitTermination()
+    assert sorted(r["k"] for r in spark.read.parquet(target).collect()) == list(range(180))
+    assert late_rows(query.recentProgress) == 20
+
+
 @pytest.mark.parametrize("within", [None, "30 days"])
 def test_first_record_wins(spark, within):
     rows = spark.range(300).select(

@@ -250,3 +250,21 @@ def test_staff_of_one_name_and_tasks_without_requirements(spark, most_sets):
     assert got == {1: ("Bob", 1), 2: ("Ann", 2), 3: ("Ann", 3), 4: (None, 0), 5: (None, 0)}
     by_id = staff.withColumn("id", F.monotonically_increasing_id())
     assert {r["t"]: r["candidates"] for r in scheduling.assign_by_expertise(tasks, by_id, most_sets).collect()} == {1: 1, 2: 3, 3: 4, 4: 0, 5: 0}
+
+
+@pytest.mark.parametrize("bucket", ["1 hour", "7 minutes", "30 days"])
+def test_conflicting_bookings_are_those_of_all_pairs(spark, bucket):
+    rng = random.Random(8)
+    rows = [(i, rng.choice("ab"), at(s := rng.randrange(3000)), at(s + rng.choice([-5, 0, 1, 20, 45, 60, 61, 900]))) for i in range(150)]
+    rows += [(900, "a", at(-5000), at(90_000)), (901, None, at(0), at(9)), (902, "a", None, at(9)), (903, "b", at(60), at(120)), (904, "b", at(120), at(180)), (None, "b", at(60), at(61))]
+    table = spark.createDataFrame(rows, "id int, room_id string, start timestamp_ntz, end timestamp_ntz").withColumn("other", F.lit("clash"))
+    wanted = table.where("id % 3 = 0 or id is null")
+    valid = [r for r in rows if r[1] and r[2] and r[2] < r[3]]
+    want = {
+        (a[0], b[0], a[1], max(a[2], b[2]), min(a[3], b[3]))
+        for a in valid if a[0] is None or a[0] % 3 == 0 for b in valid
+        if a[1] == b[1] and a[2] < b[3] and b[2] < a[3] and a[0] != b[0]
+    }
+    got = [tuple(r) for r in scheduling.conflicting_bookings(wanted, table, bucket).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 200
+    assert scheduling.conflicting_bookings(wanted.limit(0), table).count() == 0
