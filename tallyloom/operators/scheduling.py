@@ -2,36 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from collections.abc import Sequence
 
-from tallyloom.session import materialize
-
-# Staff and task kinds of the care team.
-STAFF = [
-    ("General Dentist", ["general_dentistry", "diagnosis", "treatment_planning"]),
-    ("Dental Hygienist", ["cleaning", "preventive_care", "patient_education"]),
-    ("Treatment Coordinator", ["treatment_planning", "scheduling", "insurance_coordination"]),
-    ("Dental Specialist", ["endodontics", "orthodontics", "oral_surgery"]),
-    ("Patient Care Coordinator", ["patient_communication", "care_planning", "follow_up"]),
-]
-TASKS = [
-    ("Initial Examination", ["general_dentistry", "diagnosis"]),
-    ("Dental Hygiene", ["cleaning", "preventive_care"]),
-    ("Treatment Coordination", ["treatment_planning", "insurance_coordination"]),
-    ("Specialist Consultation", ["endodontics", "orthodontics", "oral_surgery"]),
-    ("Patient Care Management", ["patient_communication", "care_planning"]),
-]
-
-
-def care_team(spark: SparkSession) -> DataFrame:
-    """The five staff members, ``name, expertise``."""
-    return spark.createDataFrame(STAFF, "name string, expertise array<string>")
-
-
-def task_kinds(spark: SparkSession) -> DataFrame:
-    """The five task kinds, ``name, required_expertise``."""
-    return spark.createDataFrame(TASKS, "name string, required_expertise array<string>")
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyloom.session import materialize
 
 def room_conflicts(bookings: DataFrame, room: str = "room_id", start: str = "start", end: str = "end") -> DataFrame:
     """Add ``conflicts``: how many other bookings of the room overlap each one.
@@ -256,9 +231,8 @@ def assign_by_expertise(tasks: DataFrame, staff: DataFrame, most_sets: int = 100
     )
 
 
-def referral_tasks(plans: DataFrame, referrals: str = "specialist_referrals") -> DataFrame:
-    """One specialist task per referral of a plan, with the plan's columns."""
-    name, required = TASKS[3]
+def referral_tasks(plans: DataFrame, task: str, required: Sequence[str], referrals: str = "specialist_referrals") -> DataFrame:
+    """One ``task`` that needs the skills ``required`` per referral of a plan, with the plan's columns; a plan without referrals has none."""
     return plans.withColumn("referral", F.explode(referrals)).withColumns(
-        {"task": F.lit(name), "required_expertise": F.array(*[F.lit(skill) for skill in required])}
+        {"task": F.lit(task), "required_expertise": F.array(*[F.lit(skill) for skill in required]).cast("array<string>")}
     )

@@ -78,13 +78,13 @@ def treatment_plans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-select s_suppkey, referral, 'Specialist Consultation' as task, 'endodontics|orthodontics|oral_surgery' as required
+select s_suppkey, referral, 'referral visit' as task, 'imaging|surgery' as required
 from (select s_suppkey, unnest(case when s_acctbal > 5000 then ['endodontics', 'orthodontics']
                                     when s_acctbal > 2000 then ['oral_surgery'] else [] end) as referral from supplier)
 """)
 def specialist_tasks(spark: SparkSession, folder: str) -> DataFrame:
     plans = care.treatment_plan(_examined(spark, folder)).select("s_suppkey", "treatment_plan.specialist_referrals")
-    return scheduling.referral_tasks(plans).select(
+    return scheduling.referral_tasks(plans, "referral visit", ["imaging", "surgery"]).select(
         "s_suppkey", "referral", "task", F.array_join("required_expertise", "|").alias("required")
     )
 

@@ -205,16 +205,11 @@ def test_free_slots_against_brute_force(spark, booked):
 
 
 def test_assignments(spark):
-    assigned = scheduling.assign_by_expertise(scheduling.task_kinds(spark), scheduling.care_team(spark))
-    assert {r["name"]: r["assigned_to"] for r in assigned.collect()} == {
-        "Initial Examination": "General Dentist", "Dental Hygiene": "Dental Hygienist",
-        "Treatment Coordination": "Treatment Coordinator", "Specialist Consultation": "Dental Specialist",
-        "Patient Care Management": "Patient Care Coordinator",
-    }
-    tasks = spark.createDataFrame([("x", ["diagnosis", "cleaning"]), ("y", ["treatment_planning", "treatment_planning"])],
-                                  "name string, required_expertise array<string>")
-    found = {r["name"]: (r["assigned_to"], r["candidates"]) for r in scheduling.assign_by_expertise(tasks, scheduling.care_team(spark)).collect()}
-    assert found == {"x": (None, 0), "y": ("General Dentist", 2)}
+    skilled = "name string, expertise array<string>"
+    staff = spark.createDataFrame([("Kim", ["cut", "sew", "press"]), ("Lou", ["sew", "pack"]), ("Max", ["press", "pack"])], skilled)
+    tasks = [("hem", ["sew"]), ("suit", ["cut", "press"]), ("parcel", ["pack", "pack"]), ("shoe", ["sew", "glue"])]
+    found = scheduling.assign_by_expertise(spark.createDataFrame(tasks, "name string, required_expertise array<string>"), staff).collect()
+    assert {r["name"]: (r["assigned_to"], r["candidates"]) for r in found} == {"hem": ("Lou", 2), "suit": ("Kim", 1), "parcel": ("Lou", 2), "shoe": (None, 0)}
 
 
 def test_plans(spark):
@@ -238,7 +233,7 @@ def test_plans(spark):
     plan = care.treatment_plan(exams)
     row = plan.first()["treatment_plan"]
     assert row["restorative_care"] == [] and row["priority_procedures"] == ["p"] and row["estimated_timeline"] == "12 months"
-    tasks = scheduling.referral_tasks(plan.select("id", "treatment_plan.specialist_referrals")).collect()
+    tasks = scheduling.referral_tasks(plan.select("id", "treatment_plan.specialist_referrals"), "visit", ["x"]).collect()
     assert [t["referral"] for t in tasks] == ["endodontics", "x"] and tasks[0]["specialist_referrals"] == ["endodontics", "x"]
 
 
