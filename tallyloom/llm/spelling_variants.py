@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.session import materialize
 
 LETTERS = "[A-Za-zÀ-ÿ]+"
+_LEVELS_AT_ONCE = 4  #: levels between two scratch tables
 
 
 def lower_ascii(word: Column) -> Column:
@@ -54,8 +56,8 @@ def near_words(vocabulary: DataFrame, word: str = "word") -> DataFrame:
     states then go down level by level through joins with the edges by node and next code point, and are pairs where word and edges end
     together. Rows meet by node, of which all words but those below it keep clear, and never pair by pair.
 
-    Null words are left out, repeated ones are one; an empty table gives no rows; other columns are not read. Every level ends in a scratch
-    table, so a lost executor costs one level. Only the longest length and whether states are left reach the driver.
+    Null words are left out, repeated ones are one; an empty table gives no rows; other columns are not read. Every few levels end in a scratch
+    table, so a lost executor costs no more than these. Only the longest length and whether states are left reach the driver.
     """
     words = materialize(vocabulary.select(F.col(word).cast("string").alias("word")).where("word is not null and word <> ''").distinct(), "trie-words")
     longest = words.agg(F.max(F.char_length("word"))).first()[0] or 0
@@ -82,26 +84,43 @@ def near_words(vocabulary: DataFrame, word: str = "word") -> DataFrame:
     shortened = (F.char_length(longer) == span + 1) & (F.levenshtein(longer, F.col("label"), 1) == 1) & ((own != F.col("label")) | at_end)
     moves = F.array_compact(F.array(F.when(replaced, F.col("at") + span), F.when(shortened, F.col("at") + span + 1)))
     edited = begun.join(edges, "node").select("word", "letters", F.concat("node", "label").alias("node"), "ends", F.explode(moves).alias("position"))
-    tables = [materialize(edited, "trie-states-0")]
+    together = (F.col("position") == size) & F.col("ends")
+    tables = []
+    states = edited.where((F.col("position") < size) | together)
     while True:
-        # What has met the end of the word, or a letter that no edge has, goes no further.
-        alive = tables[-1].where(F.col("position") < size).withColumn("first", F.substring("letters", F.col("position") + 1, F.lit(1)))
-        if alive.isEmpty():
+        for _ in range(_LEVELS_AT_ONCE):
+            states = _go_down(states, edges)
+        states = materialize(states, f"trie-states-{len(tables)}")
+        tables.append(states.where(together).select("word", "node"))
+        states = states.where(F.col("position") < size)
+        if states.isEmpty():
             break
-        on_way = alive.select("word", "letters", "position", "node", "first").join(edges, ["node", "first"])
-        matched = on_way.where(F.substring("letters", F.col("position") + 1, span) == F.col("label"))
-        down = matched.select("word", "letters", F.concat("node", "label").alias("node"), "ends", (F.col("position") + span).alias("position"))
-        tables.append(materialize(down, f"trie-states-{len(tables)}"))
-    pairs = None
-    for table in tables:
-        letters = F.expr("substring(node, 2)")
-        near = F.when(F.col("node").startswith("<"), F.reverse(letters)).otherwise(letters)
-        found = table.where(F.col("ends") & (F.col("position") == size)).select("word", near.alias("near"))
-        pairs = found if pairs is None else pairs.unionByName(found)
+    letters = F.expr("substring(node, 2)")
+    near = F.when(F.col("node").startswith("<"), F.reverse(letters)).otherwise(letters)
+    pairs = reduce(DataFrame.unionByName, tables).select("word", near.alias("near"))
     turned = F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near")))
     return pairs.select(F.explode(turned).alias("pair")).select("pair.word", "pair.near").distinct()
 
 
+def _go_down(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """States one level further down; those that are pairs already stay, those without an edge go."""
+    size, span = F.char_length("letters"), F.char_length("label")
+    under = edges.select(F.col("node").alias("_node"), F.col("first").alias("_first"), "label", F.col("ends").alias("_ends"))
+    on_way = F.col("position") < size
+    # A pair has no next code point and so meets no edge.
+    asked = states.withColumn("first", F.when(on_way, F.substring("letters", F.col("position") + 1, F.lit(1))))
+    met = asked.join(under, (F.col("node") == F.col("_node")) & (F.col("first") == F.col("_first")), "left")
+    follows = F.substring("letters", F.col("position") + 1, span) == F.col("label")
+    moved = met.where(~on_way | follows).select(
+        "word",
+        "letters",
+        F.when(on_way, F.concat("node", "label")).otherwise(F.col("node")).alias("node"),
+        F.when(on_way, F.col("_ends")).otherwise(F.col("ends")).alias("ends"),
+        F.when(on_way, F.col("position") + span).otherwise(F.col("position")).alias("position"),
+    )
+    return moved.where((F.col("position") < size) | ((F.col("position") == size) & F.col("ends")))
+
+
 def spelling_variants(vocabulary: DataFrame, ratio: float = 5) -> DataFrame:
     """Rows ``word, form, root, n, n_near, form_n`` from the distinct words and counts ``word, n`` of ``vocabulary``.
 
