@@ -119,6 +119,22 @@ def test_traversal_of_scaled_copies_beside_a_deep_cluster():
     assert sorted(found) == [(i, j - 6) for i, j in sorted(want) if i < 6 <= j]
 
 
+def test_no_link_at_the_bound_is_lost_to_rounding():
+    rng = np.random.default_rng(3)
+    for case in range(300):
+        base, side = rng.normal(size=(2, rng.integers(2, 80)))
+        base = unit(base)
+        side = unit(side - (side @ base) * base)
+        cosine = 0.93 + 1e-10
+        other = cosine * base + math.sqrt(1 - cosine**2) * side
+        near = [unit(base * scale + rng.normal(size=len(base)) * 1e-9 * (case % 2)) for scale in (1.0, 1 / 3, 0.7, 7.1, 1e-3, 13.7)]
+        x = np.array([unit(other), *near])
+        want = {(0, j) for j in range(1, 7) if x[0] @ x[j] >= 0.93}
+        found = {(int(a), int(b)) for us, vs in close_pairs(x, x, 0.93, same=True) for a, b in zip(us, vs) if a == 0}
+        found_apart = {(int(a), int(b) + 1) for us, vs in close_pairs(x[:1], x[1:], 0.93) for a, b in zip(us, vs)}
+        assert found == found_apart == want, case
+
+
 def test_top_scores_are_those_of_all_pairs(spark):
     rows = [(i, v, None, 1, 1, 1) for i, v, *_ in some_vectors()[:110]] + some_vectors()[110:115]
     rows += [(r[0] + 300, r[1], 0, 1, 1, 1) for r in rows[:40]] + [(None, [1.0] * 8, 0, 1, 1, 1), rows[0]]
