@@ -8,7 +8,6 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -167,10 +166,10 @@ class Placement:
 def pack_best_fit(items: DataFrame, limit: int, length: str = "length") -> DataFrame:
     """``items`` with ``sequence_id`` and ``offset`` in sequences of at most ``limit``, all items in one plan.
 
-    Every task numbers its items of each length. The counts by length, ``limit`` rows at most, give the plan; the counts
-    by length and task give every item its rank among all of its length, and its rank its place. So no row is sorted or gathered, a
-    length that a third of all rows share is dealt out like any other, and what the driver holds depends on ``limit`` alone. The numbered items are written once, so an executor may be
-    lost. Sequences are numbered from 0.
+    The items are written once with the task that wrote them, so an executor may be lost. The counts by length, ``limit`` rows at most, give
+    the plan; the items of one length and task are numbered together, the counts by length and task make that a rank among all of the
+    length, and the rank has its place in the plan. So a length that a third of all rows share is dealt out by tasks, and what the driver holds depends on
+    ``limit`` alone. Sequences are numbered from 0.
 
     A length that is null, below 1 or above ``limit`` fails the job. Repeated rows are packed each; an empty table gives no rows; other columns are
     kept, but those named ``sequence_id`` and ``offset`` are replaced.
@@ -178,34 +177,25 @@ def pack_best_fit(items: DataFrame, limit: int, length: str = "length") -> DataF
     names = [name for name in items.columns if name not in ("sequence_id", "offset")]
     valid = F.coalesce(F.col(length).cast("long").between(1, limit), F.lit(False))
     refused = F.raise_error(F.concat(F.lit("cannot pack the length "), F.coalesce(F.col(length).cast("string"), F.lit("null")))).cast("long")
-    slim = items.select(*names, F.when(valid, F.col(length).cast("long")).otherwise(refused).alias("_size"))
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), np.zeros(limit + 1, np.int64)
-        for batch in batches:
-            sizes = batch.column(len(names)).to_numpy()
-            order = np.argsort(sizes, kind="stable")
-            counts = np.bincount(sizes, minlength=limit + 1)
-            nth = np.empty(len(sizes), np.int64)
-            nth[order] = np.arange(len(sizes)) - np.repeat(np.cumsum(counts) - counts, counts) + seen[sizes[order]]
-            seen += counts
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(sizes), part, np.int64)), pa.array(nth)], names=[*names, "_size", "_part", "_nth"])
-
-    kinds = lambda columns: ", ".join(f"`{name}` {items.schema[name].dataType.simpleString()}" for name in columns)
-    numbered = materialize(slim.mapInArrow(number, f"{kinds(names)}, _size long, _part long, _nth long"), "exact-fill-items")
-    counts = numbered.groupBy("_size", "_part").agg(F.count(F.lit(1)).alias("n"))
+    sized = items.select(*names, F.when(valid, F.col(length).cast("long")).otherwise(refused).alias("_size"), F.spark_partition_id().alias("_part"))
+    written = materialize(sized, "exact-fill-items")
+    counts = written.groupBy("_size", "_part").agg(F.count(F.lit(1)).alias("n"))
     totals = {row["_size"]: row["n"] for row in counts.groupBy("_size").agg(F.sum("n").alias("n")).collect()}
     placement = Placement(plan_sequences(totals, limit))
     before = Window.partitionBy("_size").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("_size", "_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
-    ranked = numbered.join(first, ["_size", "_part"]).select(*names, "_size", (F.col("_first") + F.col("_nth")).alias("_rank"))
+    # Rows of one length and task are few; any fixed order will do.
+    own = Window.partitionBy("_size", "_part").orderBy(F.xxhash64(*names))
+    numbered = written.withColumn("_nth", F.row_number().over(own) - 1)
+    ranked = numbered.join(first, ["_size", "_part"]).select(*names, "_size", (F.col("_first") + F.col("_nth")).cast("long").alias("_rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = placement.place(batch.column(len(names)).to_numpy(), batch.column(len(names) + 1).to_numpy())
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *map(pa.array, found)], names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, f"{kinds(names)}, sequence_id long, offset long")
+    kinds = ", ".join(f"`{name}` {items.schema[name].dataType.simpleString()}" for name in names)
+    return ranked.mapInArrow(place, f"{kinds}, sequence_id long, offset long")
 
 
 def token_pieces(docs: DataFrame, limit: int = 2048, vocabulary: str | None = None, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
