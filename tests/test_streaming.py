@@ -17,6 +17,7 @@ from tallyloom.session import scratch_path
 from tallyloom.sources.records import numbered_elements
 from tallyloom.streaming import appointments, flows
 from tallyloom.streaming.jobs import (
+    JobLog,
     StreamJob,
     file_stream,
     folder_writer,
@@ -190,6 +191,52 @@ def test_progress_and_status(spark):
     assert progress_feed(spark, progress, "good", "Cancelled").where("status = 'Cancelled'").first()["processed_items"] == 1050
 
 
+def test_etl_in_bounded_micro_batches_goes_on_after_a_failure(spark, monkeypatch):
+    rows = spark.range(400).select(
+        F.concat(F.lit("r"), "id").alias("id"),
+        F.when(F.col("id") % 50 > 0, F.struct(F.lit("string").alias("kind"), F.concat(F.lit(" a"), "id").alias("s"), F.lit(None).cast("int").alias("i"), F.lit(None).cast("timestamp_ntz").alias("ts"))).alias("value"),
+    )
+    _, stream = as_stream(spark, rows, files=4)
+    stores, log, checkpoint = (scratch_path(spark, name) for name in ("stores", "log", "ck"))
+    turns, audit_rows = [], flows.load_result_log
+
+    def fails_once(batch):
+        turns.append(1)
+        return audit_rows(batch.where(F.raise_error(F.lit("no store")).isNull())) if len(turns) == 3 else audit_rows(batch)
+
+    monkeypatch.setattr(flows, "load_result_log", fails_once)  # its stores are written, its audit rows are not
+    first = flows.streaming_etl(stream, stores, log, checkpoint)
+    with pytest.raises(Exception, match="no store"):
+        first.awaitTermination()
+    second = flows.streaming_etl(stream, stores, log, checkpoint)
+    second.awaitTermination()
+    assert all(p["numInputRows"] <= 110 for p in [*first.recentProgress, *second.recentProgress])
+    assert sorted(r["id"] for r in spark.read.parquet(stores).collect()) == sorted(f"r{i}" for i in range(400) if i % 50)
+    audit = spark.read.parquet(log)
+    assert audit.count() == 400 and audit.where("not success").count() == 8
+
+
+def test_a_log_tells_what_became_of_jobs(spark):
+    _, stream = as_stream(spark, spark.range(10))
+    path = scratch_path(spark, "jobs")
+    assert JobLog(spark, path).rows().count() == 0
+
+    def fail(batch, batch_id):
+        raise ValueError("no store")
+
+    done = StreamJob("good", lambda: write_batches(stream, folder_writer(scratch_path(spark, "t")), scratch_path(spark, "ck")), JobLog(spark, path))
+    done.await_end()
+    bad = StreamJob("bad", lambda: write_batches(stream, fail, scratch_path(spark, "ck")), JobLog(spark, path))
+    bad.await_end()
+    rate = spark.readStream.format("rate").load().writeStream.format("noop").option("checkpointLocation", scratch_path(spark, "ck"))
+    StreamJob("endless", rate.start, JobLog(spark, path)).cancel()
+    with pytest.raises(ValueError):
+        StreamJob("never", lambda: int("x"), JobLog(spark, path))
+    later = JobLog(spark, path)  # as another driver would read it
+    assert {r["job_id"]: r["status"] for r in later.latest().collect()} == {"good": "Completed", "bad": "Failed", "endless": "Cancelled", "never": "Failed"}
+    assert later.rows().count() == 8 and later.latest().where("job_id = 'bad'").first()["message"]
+
+
 def test_failed_and_cancelled_jobs(spark):
     _, stream = as_stream(spark, spark.range(10))
 
