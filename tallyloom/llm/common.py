@@ -52,7 +52,7 @@ def text_blocks(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int,
         yield start, len(texts)
 
 
-def byte_blocks(texts: pa.Array, size: int = 16_000_000) -> Iterator[tuple[int, int]]:
+def byte_blocks(texts: pa.Array, size: int = 10_000_000) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring texts of at most ``size`` bytes together, or of one longer text."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0

@@ -27,7 +27,7 @@ _BEFORE_PUNCTUATION = rf"^\n?[{_LETTERS}]+"
 class LibraryEncoder:
     """Identifiers of whole texts as the library gives them, without added special tokens, as little-endian 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 900_000, together: int = 200):
+    def __init__(self, path: str, limit: int = 800_000, together: int = 200):
         self._tokenizer = Tokenizer.from_file(path)
         self._pieces = PieceTable(self._encode, self._of_library, limit)
         self._words = Memory(self._of_words, limit)

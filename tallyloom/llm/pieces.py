@@ -109,9 +109,8 @@ class Memory:
     def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], limit: int):
         self._encode, self._limit = encode, limit
         self._known = pa.array([], pa.string())
-        self._met = np.zeros(0, np.int64)
+        self._met = self.starts = self.counts = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
-        self.starts = self.counts = np.zeros(0, np.int64)
 
     def numbers(self, values: pa.Array) -> np.ndarray:
         """The number of every string; until the next call ``starts`` and ``counts`` have the place of its identifiers in ``flat``."""
@@ -122,20 +121,20 @@ class Memory:
         if len(numbered.dictionary) > held:
             flat, counts = self._encode(numbered.dictionary.slice(held))
             sizes = np.maximum(counts, 0)
-            self.starts = np.append(self.starts, len(self.flat) + np.cumsum(sizes) - sizes)
-            self.counts = np.append(self.counts, counts)
+            self.starts = np.append(self.starts, (len(self.flat) + np.cumsum(sizes) - sizes).astype(np.int32))
+            self.counts = np.append(self.counts, counts.astype(np.int32))
             self.flat = np.append(self.flat, flat)
             self._known = numbered.dictionary
-            self._met = np.append(self._met, np.zeros(len(counts), np.int64))
+            self._met = np.append(self._met, np.zeros(len(counts), np.int32))
         which = numbered.indices.to_numpy()[held:]
-        self._met += np.bincount(which, minlength=len(self._met))
+        self._met += np.bincount(which, minlength=len(self._met)).astype(np.int32)
         return which
 
     def _keep(self, which: np.ndarray) -> None:
         sizes = np.maximum(self.counts[which], 0)
         self.flat = gather(self.flat, self.starts[which], sizes)
         self.counts, self._met = self.counts[which], self._met[which]
-        self.starts = np.cumsum(sizes) - sizes
+        self.starts = (np.cumsum(sizes) - sizes).astype(np.int32)
         self._known = self._known.take(pa.array(which))
 
 
@@ -149,10 +148,10 @@ class PieceTable:
 
     FIRST = "\x02"  #: stands before the first piece of a text; a text that holds it itself is irregular
 
-    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], whole: Callable[[list[str]], list[bytes]], limit: int = 900_000):
+    def __init__(self, encode: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], whole: Callable[[list[str]], list[bytes]], limit: int = 800_000):
         self._pieces, self._whole = Memory(encode, limit), whole
 
-    def encode(self, texts: pa.Array, block: int = 16_000_000) -> Iterator[bytes]:
+    def encode(self, texts: pa.Array, block: int = 10_000_000) -> Iterator[bytes]:
         """The identifiers of every text; about ``block`` bytes are worked on at a time."""
         for start, stop in byte_blocks(texts, block):
             yield from self._block(texts.slice(start, stop - start))

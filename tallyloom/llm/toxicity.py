@@ -191,12 +191,17 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", t
 
 
 def keep_below(docs: DataFrame, model: ToxicityModel, bound: float, text: str = "text") -> DataFrame:
-    """All columns of the rows whose text scores below ``bound``."""
+    """All columns of the rows whose text scores below ``bound``.
+
+    Null and empty texts score as texts without known words; repeated rows and rows without a key are judged each; an empty table gives no
+    rows; other columns are kept as they are.
+    """
 
     @F.pandas_udf("double")
-    def score(values: pd.Series) -> pd.Series:
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(model)
-        return values.map(lambda value: scorer.score(value or ""))
+        for values in parts:
+            yield values.map(lambda value: scorer.score(value or ""))
 
     return docs.where(score(F.col(text)) < bound)
 
