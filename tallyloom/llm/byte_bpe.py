@@ -14,7 +14,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from tallyloom.llm.common import tokenizer_path, whole_texts
+from tallyloom.llm.common import byte_blocks, tokenizer_path, whole_texts
 from tallyloom.llm.pieces import PieceCache, spaced
 
 #: A row is a token, its place in its word and the token after it. Each turn contracts the leftmost pair of lowest rank in every word
@@ -41,16 +41,15 @@ with recursive states(turn, word, place, token, following) as (
         where s.place <> c.place + 1
     )
 )
-select word, list(token order by place) as tokens
-from states semi join (select word, max(turn) as turn from states group by word) using (word, turn)
-group by word
+select word, place, token from states semi join (select word, max(turn) as turn from states group by word) using (word, turn)
 """
 #: For long words: all occurrences of the lowest-ranked pair in one turn, taken from the left without overlap. Pairs made by a contraction
-#: rank higher than it, so this equals contracting the leftmost again and again, in as many turns as there are different pairs.
+#: rank higher than it, so this equals contracting the leftmost again and again, in as many turns as there are different pairs. The
+#: recursion keeps one row for each place, whatever the turns; rows of a place that is gone are those of an earlier turn than its word's last.
 _ENCODE_LONG = """
-with recursive states(turn, word, pos, token) as (
+with recursive states(turn, word, pos, token) using key (word, pos) as (
     select 0, word, pos, token from symbols
-    union all
+    union
     (
         with pairs as (
             select s.turn, s.word, s.pos, s.token, m.merged, m.merged as rank, s.place
@@ -77,14 +76,17 @@ with recursive states(turn, word, pos, token) as (
         select turn + 1, word, pos, case when take then merged else token end from dropped where not gone
     )
 )
-select word, list(token order by pos) as tokens
-from states join (select word, max(turn) as turn from states group by word) using (word, turn)
-group by word
+select word, pos as place, token from states semi join (select word, max(turn) as turn from states group by word) using (word, turn)
 """
+#: Identifiers of all words in order, and the bytes that they decode to, in order again. One sort serves the block; a sort for
+#: every word would take several times as long.
 _DECODE = """
-select word, string_agg(hex(bytes), '' order by place) as decoded
-from (select word, unnest(tokens) as token, generate_subscripts(tokens, 1) as place from encoded) join vocabulary using (token)
-group by word
+select list(token order by word, place) as tokens, string_agg(hexed, '' order by word, place) as decoded
+from encoded join vocabulary using (token)
+"""
+_SIZES = """
+select count(*)::bigint as tokens, sum(octet_length(bytes))::bigint as bytes
+from encoded join vocabulary using (token) group by word order by word
 """
 
 
@@ -95,7 +97,7 @@ class RankEncoder:
     have a rank, that rank, which is also the identifier of the merged token.
     """
 
-    def __init__(self, path: str, pattern: str, memory: str = "300MB", words: int = 20_000, long: int = 128, limit: int = 600_000):
+    def __init__(self, path: str, pattern: str, memory: str = "300MB", block: int = 160_000, long: int = 128, limit: int = 600_000):
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         merges = [
@@ -105,14 +107,19 @@ class RankEncoder:
             if (left := ranks.get(token[:cut])) is not None and (right := ranks.get(token[cut:])) is not None
         ]
         self._pattern = regex.compile(pattern)
-        self._words, self._long, self._limit = words, long, limit
+        self._block, self._long, self._limit = block, long, limit
         self._known: dict[str, tuple[bytes, bytes]] = {}
         self._bytes = np.array([ranks[bytes([value])] for value in range(256)], np.int32)
         self._db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         lefts, rights, merged = map(pa.array, zip(*merges))
         table = pa.table({"lefthand": lefts.cast("int32"), "righthand": rights.cast("int32"), "merged": merged.cast("int32")})
         self._create("merges", table)
-        self._create("vocabulary", pa.table({"token": pa.array(ranks.values(), "int32"), "bytes": pa.array(ranks.keys(), "binary")}))
+        hexed, raw = pa.array([token.hex() for token in ranks]), pa.array(ranks.keys(), "binary")
+        self._create("vocabulary", pa.table({"token": pa.array(ranks.values(), "int32"), "bytes": raw, "hexed": hexed}))
+        self._joined = np.zeros((256, 256), bool)  # neighbouring bytes of any token
+        for token in ranks:
+            codes = np.frombuffer(token, np.uint8)
+            self._joined[codes[:-1], codes[1:]] = True
         self._pieces = PieceCache(self._encode, spaced, lambda text: self._encode([text]), limit=limit)
 
     def _create(self, name: str, table: pa.Table) -> None:
@@ -129,13 +136,13 @@ class RankEncoder:
         split = [self._pattern.findall(form) for form in forms]
         distinct = {word for words in split for word in words}
         known = {word: self._known[word] for word in distinct if word in self._known}
-        fresh = {}
-        short, long = [], []
-        for word in distinct - known.keys():
-            (long if len(word.encode()) > self._long else short).append(word)
-        for group, size in ((short, self._words), (long, 1)):
-            for start in range(0, len(group), size):
-                fresh.update(self._merge(group[start : start + size]))
+        unknown = {word: word.encode() for word in distinct - known.keys()}
+        split_up = {word: self._cut(raw) for word, raw in unknown.items() if len(raw) > self._long}
+        parts = {part for cut in split_up.values() for part in cut} | {raw for word, raw in unknown.items() if word not in split_up}
+        merged = self._merged(parts)
+        fresh = {word: merged[raw] for word, raw in unknown.items() if word not in split_up}
+        for word, cut in split_up.items():
+            fresh[word] = tuple(b"".join(values) for values in zip(*[merged[part] for part in cut]))
         if len(self._known) + len(fresh) > self._limit:
             self._known.clear()
         self._known.update((word, value) for word, value in fresh.items() if len(word) <= 48)
@@ -145,9 +152,28 @@ class RankEncoder:
             for words in split
         ]
 
-    def _merge(self, words: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        raw = [word.encode() for word in words]
-        query = _ENCODE_LONG if len(raw[0]) > self._long else _ENCODE
+    def _cut(self, raw: bytes) -> list[bytes]:
+        """The word in parts that no merge can join, since the bytes on both sides of a cut are neighbours in no token."""
+        codes = np.frombuffer(raw, np.uint8)
+        cuts = [0, *(np.flatnonzero(~self._joined[codes[:-1], codes[1:]]) + 1).tolist(), len(raw)]
+        return [raw[start:stop] for start, stop in zip(cuts, cuts[1:])]
+
+    def _merged(self, parts: set[bytes]) -> dict[bytes, tuple[bytes, bytes]]:
+        """Words or parts of words, about ``block`` bytes in one recursion, each long one in its own."""
+        found: dict[bytes, tuple[bytes, bytes]] = {}
+        group, size = [], 0
+        for part in parts:
+            if len(part) > self._long:
+                found |= self._merge([part], _ENCODE_LONG)
+                continue
+            group.append(part)
+            size += len(part)
+            if size >= self._block:
+                found |= self._merge(group, _ENCODE)
+                group, size = [], 0
+        return found | self._merge(group, _ENCODE) if group else found
+
+    def _merge(self, raw: list[bytes], query: str) -> dict[bytes, tuple[bytes, bytes]]:
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         owner = np.repeat(np.arange(len(raw), dtype=np.int32), sizes)
         place = (np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
@@ -156,12 +182,15 @@ class RankEncoder:
         following[np.cumsum(sizes) - 1] = -1
         self._create("symbols", pa.table({"word": owner, "place": place, "pos": place, "token": token, "following": following}))
         self._db.execute(f"create or replace table encoded as {query}")
-        tokens = self._db.sql("select word, tokens from encoded").to_arrow_table()
-        lists = tokens.column("tokens").combine_chunks()
-        flat, offsets = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_pylist()
-        ids = {word: flat[a:b].tobytes() for word, a, b in zip(tokens.column("word").to_pylist(), offsets, offsets[1:])}
-        decoded = dict(self._db.execute(_DECODE).fetchall())
-        return {word: (ids[i], bytes.fromhex(decoded[i])) for i, word in enumerate(words)}
+        block = self._db.sql(_DECODE).to_arrow_table()
+        ids = memoryview(block.column("tokens").combine_chunks().values.to_numpy(zero_copy_only=False).astype("<u4")).cast("B")
+        decoded = bytes.fromhex(block.column("decoded")[0].as_py())
+        sizes = self._db.sql(_SIZES).to_arrow_table()
+        tokens, ends = ([0, *np.cumsum(column.to_numpy() * width).tolist()] for column, width in zip(sizes.columns, (4, 1)))
+        return {
+            word: (bytes(ids[t0:t1]), decoded[b0:b1])
+            for word, t0, t1, b0, b1 in zip(raw, tokens, tokens[1:], ends, ends[1:])
+        }
 
 
 @cache
@@ -173,8 +202,9 @@ def encode_bytes(docs: DataFrame, ranks: str | None = None, pattern: str = publi
     """Rows ``key, n_tokens, ids, decoded`` of every text: identifiers as little-endian 32-bit integers, and the bytes decoded from them.
 
     Words are the matches of ``pattern``, merged apart; no special tokens. Null and empty texts give empty
-    binaries; repeated rows are encoded each; an empty table gives no rows; other columns are not read. Very long words are merged
-    whole: a word takes as many turns as it has different pairs to contract.
+    binaries; repeated rows are encoded each; an empty table gives no rows; other columns are not read. Very long words are cut where
+    no token of the vocabulary could span the cut; what can't be cut takes as many turns as it has different pairs to contract, in memory
+    that follows its length.
     """
     return _mapped(docs, ranks, pattern, key, text, lambda ids, decoded: (pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())), "ids binary, decoded binary")
 
@@ -196,8 +226,8 @@ def _mapped(docs, ranks, pattern, key, text, columns, schema) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, pattern)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for start, stop in byte_blocks(whole.column(1), 4_000_000):
+                batch = whole.slice(start, stop - start)
                 ids, decoded = zip(*encoder.encode(batch.column(1).to_pylist()))
                 counts = pa.array([len(value) // 4 for value in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0), counts, *columns(list(ids), list(decoded))], names=names)

@@ -1,6 +1,7 @@
 """Token files, packing, counts and byte-level encoding against the libraries."""
 
 import base64
+import random
 import zlib
 from collections import defaultdict
 
@@ -139,3 +140,21 @@ def test_bytes_equal_those_of_the_library_and_decode_to_the_text(spark):
     assert encode_bytes(documents(spark, [])).count() == 0
     encoder = RankEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, long=4)
     assert [ids for ids, _ in encoder.encode([text or "" for text in ODD_TEXTS])] == [bytes(row["ids"]) for row in rows]
+
+
+def test_very_long_words_are_encoded_as_by_the_library():
+    """Random letters are cut where no token could span; a period of few letters can't be cut and stays in one recursion."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    library = tiktoken.Encoding("library", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    encoder = RankEncoder(path, public_tokenizers.PATTERN)
+    letters = random.Random(3)
+    words = ["".join(letters.choices("abcdefghijklmnopqrstuvwxyz", k=20_000)), "".join(letters.choices("abAB+/09é", k=5_000))]
+    words += ["a" * 20_001, "xyz" * 7_000, "qj" * 300 + "the" * 300]
+    for word, (ids, decoded) in zip(words, encoder.encode(words)):
+        assert decoded == word.encode()
+        assert ids == np.array(library.encode(word, disallowed_special=()), "<u4").tobytes()
+    million = "".join(letters.choices("abcdefghijklmnopqrstuvwxyzABCDEF", k=1_000_000))
+    (ids, decoded), = encoder.encode([million])
+    assert decoded == million.encode() and len(ids) < 4_000_000
