@@ -10,6 +10,7 @@ from tallyloom.plans.inputs import PREFERENCES_SQL, preferences
 from tallyloom.plans.registry import query
 from tallyloom.session import scratch_path
 from tallyloom.sources.files import FORECAST_SCHEMA, read_json_array, read_json_array_stream, read_table
+from tallyloom.sources.json_arrays import read_json_array_ranges
 from tallyloom.sources.records import forecasts
 
 
@@ -158,6 +159,24 @@ def forecast_arrays(spark: SparkSession, folder: str) -> DataFrame:
     return read_json_array(spark, _forecast_files(spark, folder), FORECAST_SCHEMA)
 
 
+@query("""
+select o_orderdate::date as date, count(*) as orders, max(o_totalprice) as largest, min(o_orderpriority) as first_priority
+from orders group by all
+""")
+def order_days_of_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of the orders, written as a JSON array a year with null items among them, and read back by ranges of a few days."""
+    days = read_table(spark, folder, "orders").groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
+        F.count(F.lit(1)).alias("orders"), F.max("o_totalprice").alias("largest"), F.min("o_orderpriority").alias("first_priority")
+    )
+    item = F.to_json(F.struct("date", "orders", "largest", "first_priority"))
+    arrays = days.groupBy(F.year("date").alias("year")).agg(F.sort_array(F.collect_list(item)).alias("items"))
+    path = scratch_path(spark, "order-days")
+    text = F.concat(F.lit("[null,"), F.array_join("items", ", "), F.lit(",null]"))
+    arrays.select("year", text.alias("value")).write.partitionBy("year").text(path)
+    schema = "date date, orders bigint, largest double, first_priority string"
+    return read_json_array_ranges(spark, path, schema, range_bytes=2048)
+
+
 @query(f"select * from ({FORECASTS_SQL}) order by date limit 10")
 def first_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     return read_json_array_stream(spark, _forecast_files(spark, folder), FORECAST_SCHEMA, 10, ["date"])

@@ -18,6 +18,7 @@ from tallyloom.plans.registry import query
 from tallyloom.session import materialize, scratch_path
 from tallyloom.sources import records, sinks
 from tallyloom.sources.files import read_table
+from tallyloom.sources.plugins import register_stores
 
 _NOW = "2025-01-01 00:00:00"
 
@@ -151,6 +152,26 @@ def route_records_by_type(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("id", "store", value_text("transformed_data").alias("text"))
 
 
+@query(f"select id, {TEXT_SQL} as text from ({RESULTS_SQL}) where error is null")
+def records_loaded_by_plug_in(spark: SparkSession, folder: str) -> DataFrame:
+    """Loadable records through a registered loader and back through its source; a second load breaks off in a task and leaves nothing."""
+    register_stores(spark)
+    path = scratch_path(spark, "committed")
+
+    def load(rows: DataFrame, name: str) -> None:
+        kept = etl.is_loadable(rows).select("id", "transformed_data")
+        kept.write.format("committed").option("load", name).mode("append").save(path)
+
+    def break_off(rows: DataFrame) -> None:
+        """A loader that meets a date it refuses."""
+        refused = F.raise_error(F.lit("no dates here"))
+        load(rows.where(F.when(F.col("id").startswith("date-"), refused).otherwise(F.lit(True))), "broken")
+
+    for loader in (lambda rows: load(rows, "whole"), break_off):
+        etl.run_with_stats(etl.EtlJob(source=lambda: typed_records(spark, folder), load=loader))
+    return spark.read.format("committed").load(path).select("id", value_text("transformed_data").alias("text"))
+
+
 LOG_SQL = f"""
   select sha256('load' || chr(31) || id) as id, id as transformation_id, error is null as success,
          case when error is null then {STORE_SQL} || '/' || sha256(id) end as storage_location,
