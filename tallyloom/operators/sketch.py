@@ -12,7 +12,7 @@ task ships at most ``2^precision`` of its rows.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -505,8 +505,17 @@ def pack_registers(sketch: DataFrame, by: Sequence[str], encoding: str = DENSE)
     return grouped.select(*by, "precision", "hash", found["encoding"].alias("encoding"), found["buckets"].alias("buckets"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it, inside its loops too."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def encoded_registers(entries: Column, precision: Column, encoding: Column) -> Column:
     """Struct ``encoding, buckets`` from sorted ``bucket, rank`` entries; sparse only where that is shorter than dense."""
+    return _bound(entries, lambda found: _encoded(found, precision, encoding))
+
+
+def _encoded(entries: Column, precision: Column, encoding: Column) -> Column:
     hex_rank = lambda entry: F.lpad(F.hex(entry["rank"]), 2, "0")
 
     def cell(entry: Column, i: Column) -> Column:
@@ -521,8 +530,22 @@ def encoded_registers(entries: Column, precision: Column, encoding: Column) -> C
     )
 
 
+def larger_registers(one: Column, other: Column) -> Column:
+    """Of two dense byte arrays the larger register, byte by byte."""
+
+    def cells(packed: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(packed)), lambda i: F.substring(packed, i, F.lit(1)))
+
+    both = lambda a, b: F.zip_with(cells(a), cells(b), lambda x, y: F.hex(F.greatest(x, y)))
+    return F.unhex(F.array_join(_bound(one, lambda a: _bound(other, lambda b: both(a, b))), ""))
+
+
 def stored_entries(buckets: Column, encoding: Column) -> Column:
     """The sorted ``bucket, rank`` entries of packed registers, zero ranks left out."""
+    return _bound(buckets, lambda packed: _entries_of(packed, encoding))
+
+
+def _entries_of(buckets: Column, encoding: Column) -> Column:
     number = lambda start, size: F.conv(F.hex(F.substring(buckets, start, F.lit(size))), 16, 10).cast("int")
     count = F.length(buckets)
     places = lambda n: F.when(n > 0, F.sequence(F.lit(0), (n - 1).cast("int"))).otherwise(F.array().cast("array<int>"))

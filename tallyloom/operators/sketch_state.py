@@ -8,6 +8,7 @@ or a failed job then leaves the old version whole, and plans stay short.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tallyloom.functions.cardinality import DEFAULT_PRECISION, check_precision
 from tallyloom.operators.sketch import (
@@ -19,6 +20,7 @@ from tallyloom.operators.sketch import (
     encoded_registers,
     hash_bits_of,
     hll_estimate,
+    larger_registers,
     pack_registers,
     stored_entries,
     unpack_registers,
@@ -40,7 +42,8 @@ def utc_now() -> Column:
 
 def empty_state(spark: SparkSession) -> DataFrame:
     """A state table without sketches."""
-    return spark.createDataFrame([], STATE_SCHEMA)
+    columns = StructType.fromDDL(STATE_SCHEMA)
+    return spark.range(0).select(*[F.lit(None).cast(column.dataType).alias(column.name) for column in columns])
 
 
 def init_sketch(
@@ -70,10 +73,6 @@ def init_sketch(
     return state.join(ids, "hll_id", "left_anti").unionByName(empty)
 
 
-def _cells(buckets: str) -> str:
-    return f"transform(sequence(1, length({buckets})), i -> substring({buckets}, i, 1))"
-
-
 def upsert_sketch(state: DataFrame, delta: DataFrame, now: Column | None = None) -> DataFrame:
     """Merge the long-form ``delta`` (``hll_id, precision, hash, bucket, rank``) into ``state``.
 
@@ -87,9 +86,7 @@ def upsert_sketch(state: DataFrame, delta: DataFrame, now: Column | None = None)
         "hll_id", F.col("precision").alias("_precision"), F.col("hash").alias("_hash"), F.col("buckets").alias("_buckets")
     )
     dense_of = encoded_registers(stored_entries(F.col("buckets"), F.col("encoding")), F.col("precision"), F.lit(DENSE))
-    larger = F.expr(
-        f"unhex(array_join(zip_with({_cells('_dense')}, {_cells('_buckets')}, (a, b) -> hex(greatest(a, b))), ''))"
-    )
+    larger = larger_registers(F.col("_dense"), F.col("_buckets"))
     found = F.col("precision").isNotNull()
     differ = lambda message, one, other: F.raise_error(F.concat(F.lit(f"{message}: "), F.col(one).cast("string"), F.lit(", "), F.col(other).cast("string")))
     checked = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -394,3 +395,19 @@ def test_stored_sketches_in_both_encodings(spark, hash_name):
         assert lengths[2] == ("dense", 1024) and lengths[3] == ((encoding, 0) if encoding == "sparse" else (encoding, 1024))
     assert states["dense"] == states["sparse"] and states["dense"][3] == 0
     assert states["dense"] == {3: 0} | {r["hll_id"]: r["estimate"] for r in sketch.hll_estimate(built, ["hll_id"]).collect()}
+
+
+def test_full_sketches_are_stored_in_time_linear_in_their_registers(spark):
+    """Every register of 2^14 filled: minutes where packed registers are computed again for each of them."""
+    rows = spark.range(200_000).select(F.lit(1).alias("hll_id"), F.col("id").alias("part"))
+    state = sketch_state.init_sketch(sketch_state.empty_state(spark), rows, 14, hash_name="sha256_64", encoding=sketch.SPARSE)
+    started = time.monotonic()
+    for rest in (0, 1):
+        delta = sketch.hll_build(rows.where(F.col("part") % 2 == rest), "part", 14, ["hll_id"], "sha256_64")
+        state = materialize(sketch_state.upsert_sketch(state, delta), "full_state")
+    taken = time.monotonic() - started
+    whole = sketch.hll_build(rows, "part", 14, ["hll_id"], "sha256_64").where("rank > 0")
+    columns = ["hll_id", "bucket", "rank"]
+    stored = sketch.unpack_registers(state, ["hll_id"]).where("rank > 0").select(*columns)
+    assert stored.exceptAll(whole.select(*columns)).count() == 0 and stored.count() == whole.count()
+    assert taken < 60
