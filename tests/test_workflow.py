@@ -121,6 +121,16 @@ def test_states_are_those_of_a_walk_with_a_hot_appointment(spark):
         assert got == want[r["appointment_id"]], r["appointment_id"]
 
 
+def test_states_tell_every_refusal_in_order(spark):
+    stages = list(workflow.STAGE_TIMES)
+    rows = [("a", stages[0], 0), ("a", "Cancelled", 9), ("a", stages[0], 5), ("a", stages[0], 5), ("a", stages[2], 3), ("a", "Asleep", 3), ("b", stages[0], 1)]
+    untimed = events(spark, [("a", None, 0), ("a", stages[1], 0)]).withColumn("event_time", F.lit(None).cast("timestamp_ntz"))
+    found = {r["appointment_id"]: r for r in workflow.workflow_states(events(spark, rows).unionByName(untimed)).collect()}
+    told = [stages[2], "Asleep", stages[0], stages[0], stages[1], "nothing"]
+    assert found["a"]["notes"] == [f"rejected {status}" for status in told] and found["a"]["refused"] == 6
+    assert found["b"]["notes"] == [] and found["b"]["refused"] == 0
+
+
 def test_an_appointment_of_a_million_reports(spark):
     stages = F.array(*[F.lit(s) for s in ("CheckedIn", "InsuranceVerified", "AssessmentCompleted", "Asleep")])
     many = spark.range(1_000_000).select(
