@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators import workflow
 from tallyloom.operators.sketch import hll_build, hll_estimate
+from tallyloom.plans.streams import BATCH_FILES, FILE_ROWS, files_of
 from tallyloom.session import scratch_path
 from tallyloom.sources.records import numbered_elements
 from tallyloom.streaming import appointments, flows
@@ -105,6 +106,26 @@ def test_finished_appointments_leave_the_state_and_old_reports_are_counted(spark
     assert progress[-1]["stateOperators"][0]["numRowsTotal"] <= 6
 
 
+def test_waiting_reports_are_in_built_in_state_and_refusals_are_told(spark):
+    hour = lambda n: NEW_YEAR + dt.timedelta(hours=n)
+    files = [
+        [("a", "p", "CheckedIn", hour(1)), ("a", "p", "CheckedIn", hour(1)), ("b", "p", "Asleep", None)],
+        [("a", "p", "Cancelled", hour(30)), ("a", "q", "InsuranceVerified", hour(20))],
+        [("a", "p", "CheckedIn", hour(40)), (None, None, None, hour(900))],
+    ]
+    progress, target = run_workflow(spark, files, delay="2 days")
+    # A keyed processor in Python needs some milliseconds for every appointment and micro-batch.
+    assert {p["stateOperators"][0]["operatorName"] for p in progress} == {"stateStoreSave"}
+    states = {r["appointment_id"]: (r["status"], r["notes"]) for r in appointments.stored_workflow_states(spark, target).collect()}
+    assert states == {"a": ("Cancelled", ["rejected CheckedIn"] * 2), "b": (None, ["rejected Asleep"])}
+
+
+def test_files_and_micro_batches_of_a_stream_are_bounded():
+    for rows in (0, 5, 300_000, 9_000_000, 54_000_000):
+        files, taken = files_of(rows)
+        assert files >= 3 and -(-rows // files) <= FILE_ROWS and taken <= BATCH_FILES and 3 * taken <= files + 2
+
+
 def test_snapshots_survive_an_end_between_their_steps(spark, monkeypatch):
     rows = numbered_elements(spark, 6000).withColumn("g", (F.col("index") % 2).cast("string"))
     path, stream = as_stream(spark, rows, files=4)
