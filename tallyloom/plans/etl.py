@@ -15,12 +15,13 @@ from tallyloom.functions.values import (
 from tallyloom.operators import etl
 from tallyloom.plans.inputs import RESULTS_SQL, TYPED_RECORDS_SQL, typed_records
 from tallyloom.plans.registry import query
-from tallyloom.session import materialize, scratch_path
+from tallyloom.session import materialize_by, scratch_path
 from tallyloom.sources import records, sinks
 from tallyloom.sources.files import read_table
 from tallyloom.sources.plugins import register_stores
 
 _NOW = "2025-01-01 00:00:00"
+BUCKET_ROWS = 200_000  #: about so many in a bucket of a stored table
 
 
 def _now() -> Column:
@@ -192,9 +193,11 @@ select r.id, {TEXT_SQL} as text, l.id as load_id, success, storage_location
 from ({RESULTS_SQL}) r left join ({LOG_SQL}) l on l.transformation_id = r.id and l.success
 """)
 def load_lineage_of_records(spark: SparkSession, folder: str) -> DataFrame:
-    """Every transformation with its successful load, both from stored tables."""
-    results = materialize(_results(spark, folder), "results")
-    loads = materialize(etl.load_result_log(results, now=_now()).where("success"), "load-log")
+    """Every transformation with its successful load, both from stored tables in the same buckets of ids."""
+    buckets = -(-typed_records(spark, folder).count() // BUCKET_ROWS) or 1
+    results = materialize_by(_results(spark, folder).repartition(buckets, "id"), "results", "id", buckets)
+    log = etl.load_result_log(results, now=_now()).where("success")
+    loads = materialize_by(log, "load-log", "transformation_id", buckets)
     return etl.load_lineage(results, loads).select(
         "id", value_text("transformed_data").alias("text"), "load_id", "success", "storage_location"
     )

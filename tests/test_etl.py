@@ -19,6 +19,7 @@ from tallyloom.functions.values import (
     value_text,
 )
 from tallyloom.operators import etl
+from tallyloom.plans.etl import load_lineage_of_records
 from tallyloom.session import scratch_path
 from tallyloom.sources import records, sinks
 from tallyloom.sources.files import FORECAST_SCHEMA, read_json_array
@@ -143,3 +144,14 @@ def test_json_arrays_skip_nulls(spark, tmp_path):
     )
     rows = read_json_array(spark, str(tmp_path), FORECAST_SCHEMA).orderBy("date").collect()
     assert [(str(r["date"]), r["temperature_c"]) for r in rows] == [("2025-01-01", 3), ("2025-01-02", None)]
+
+
+def test_lineage_joins_stored_buckets_without_a_shuffle(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = load_lineage_of_records(spark, "/root/testdata/sf0.001")
+        assert "Exchange" not in frame._jdf.queryExecution().executedPlan().toString()
+        assert frame.count() > 0 and not [t for t in spark.catalog.listTables() if t.name.startswith("tallyloom_") and not t.isTemporary]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
