@@ -19,6 +19,8 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.session import spread
+
 TEXT_COLUMNS = ("drug_name", "strength", "route")
 LABEL_COLUMN = "dosage_form"
 SEED = 42
@@ -59,6 +61,18 @@ def concat_features(columns: Sequence[str] = TEXT_COLUMNS, output: str = "featur
     return VectorAssembler(inputCols=[f"{column}_features" for column in columns], outputCol=output)
 
 
+def squared_length(vector: Column | str) -> Column:
+    """Sum of the squares of a vector's values; only those that are stored are visited, not all dimensions."""
+    stored = F.unwrap_udt(vector)["values"]
+    return F.aggregate(stored, F.lit(0.0), lambda total, x: total + x * x)
+
+
+def dimensions(vector: Column | str) -> Column:
+    """Dimensions of a vector; a dense one has a value for each and doesn't state them."""
+    stored = F.unwrap_udt(vector)
+    return F.coalesce(stored["size"], F.size(stored["values"]))
+
+
 def _without_null_text(df: DataFrame) -> DataFrame:
     return df.withColumns({column: F.coalesce(column, F.lit("")) for column in TEXT_COLUMNS})
 
@@ -66,6 +80,7 @@ def _without_null_text(df: DataFrame) -> DataFrame:
 def train_classifier(df: DataFrame, max_iter: int = 50, features: int = 1 << 12) -> PipelineModel:
     """Fit the whole chain on labelled dosage rows."""
     rows = _without_null_text(df.where(F.col(LABEL_COLUMN).isNotNull()).select(*TEXT_COLUMNS, LABEL_COLUMN))
+    rows = spread(rows)
     indexer = StringIndexer(inputCol=LABEL_COLUMN, outputCol="label").fit(rows)
     stages = [stage for column in TEXT_COLUMNS for stage in featurize_text(column, features)]
     classifier = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=1e-4)
@@ -84,7 +99,7 @@ def predict_form(
     df: DataFrame, model: PipelineModel, form: str = "predicted_dosage_form", confidence: str = "confidence"
 ) -> DataFrame:
     """Add the predicted form and its confidence to every row."""
-    scored = model.transform(_without_null_text(df))
+    scored = model.transform(_without_null_text(spread(df)))
     return scored.select(
         *[F.col(name) for name in df.columns],
         F.col("_restored").alias(form),
