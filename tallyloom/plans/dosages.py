@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyloom.functions.dosage_rules import frequency_ok, ndc11_format, strength_ok
 from tallyloom.operators import dosage, dosage_model
 from tallyloom.plans.inputs import DOSAGES_SQL, FREQUENCIES, LABELERS_SQL, dosages, labelers
 from tallyloom.plans.registry import query
-from tallyloom.session import scratch_path
+from tallyloom.session import scratch_path, spread
 from tallyloom.sources.files import read_dosage_file
 
 STRENGTH_SQL = r"regexp_matches(strength, '^\d+(\.\d+)?\s*(mg|g|mcg|mL|%|unit|IU)$', 'i')"
@@ -154,14 +153,13 @@ from ({DOSAGES_SQL})
 """)
 def dosage_text_features(spark: SparkSession, folder: str) -> DataFrame:
     """Dimensions and squared length of the joined text features: one for each part a text has."""
-    rows = dosages(spark, folder)
+    rows = spread(dosages(spark, folder))
     stages = [stage for column in dosage_model.TEXT_COLUMNS for stage in dosage_model.featurize_text(column, 1 << 8)]
     features = Pipeline(stages=[*stages, dosage_model.concat_features()]).fit(rows).transform(rows)
-    vector = vector_to_array("features")
     return features.select(
         "ndc11",
-        F.size(vector).alias("dimensions"),
-        F.round(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x * x), 6).alias("squared_length"),
+        dosage_model.dimensions("features").alias("dimensions"),
+        F.round(dosage_model.squared_length("features"), 6).alias("squared_length"),
     )
 
 

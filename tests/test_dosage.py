@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 
 from tallyloom.functions.dosage_rules import frequency_ok, ndc11_format, strength_ok
 from tallyloom.operators import dosage, dosage_model
-from tallyloom.session import scratch_path
+from tallyloom.session import scratch_path, spread
 from tallyloom.sources.files import DOSAGE_SCHEMA, read_dosage_file
 
 
@@ -98,3 +99,19 @@ def test_file_by_position(spark):
     row = ("00000000001", "Something", "5 mg", "capsule", "oral", 3.0, "capsules", "twice daily")
     spark.createDataFrame([row], DOSAGE_SCHEMA).write.csv(path)
     assert read_dosage_file(spark, path).first()["frequency"] == "twice daily"
+
+
+def test_lengths_visit_stored_values_only(spark):
+    made = [Vectors.dense([3.0, 0.0, 4.0]), Vectors.sparse(5000, {1: 2.0, 4999: 3.0}), Vectors.sparse(7, {})]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(made)], ["i", "v"])
+    measured = frame.select("i", dosage_model.dimensions("v"), dosage_model.squared_length("v"))
+    assert sorted(tuple(r) for r in measured.collect()) == [(0, 3, 25.0), (1, 5000, 13.0), (2, 7, 0.0)]
+
+
+def test_a_small_file_of_many_rows_is_worked_on_by_many_tasks(spark):
+    one = spark.range(25_000).selectExpr("cast(id as string) drug_name", "'5 mg' strength", "'oral' route", "if(id % 2 = 0, 'a', 'b') dosage_form").coalesce(1)
+    dealt = spread(one)
+    assert dealt.rdd.getNumPartitions() == 3 and dealt.exceptAll(one).count() == 0 == one.exceptAll(dealt).count()
+    assert spread(one.limit(9)).rdd.getNumPartitions() == 1
+    model = dosage_model.train_classifier(one.where("drug_name < '2'"), max_iter=1, features=16)
+    assert dosage_model.predict_form(one, model).rdd.getNumPartitions() == 3
