@@ -46,6 +46,15 @@ def level_depths(longest: int, single: int = 16, share: int = 8) -> list[int]:
     return depths
 
 
+def _join(left: DataFrame, right: DataFrame, on: str | Column, how: str = "inner") -> DataFrame:
+    """A join of two tables that both grow with the vocabulary: never by a broadcast.
+
+    Spark would size either side by its compressed files, and as if an explode kept the number of its rows, and so take millions of rows for
+    a table of a few megabytes and build it in the driver.
+    """
+    return left.hint("merge").join(right.hint("merge"), on, how)
+
+
 def near_words(vocabulary: DataFrame, word: str = "word") -> DataFrame:
     """Rows ``word, near``: all ordered pairs of distinct words that one inserted, deleted or replaced code point turns into each other.
 
@@ -83,7 +92,7 @@ def near_words(vocabulary: DataFrame, word: str = "word") -> DataFrame:
     at_end = F.col("ends") & (F.col("at") + span + 1 == size)
     shortened = (F.char_length(longer) == span + 1) & (F.levenshtein(longer, F.col("label"), 1) == 1) & ((own != F.col("label")) | at_end)
     moves = F.array_compact(F.array(F.when(replaced, F.col("at") + span), F.when(shortened, F.col("at") + span + 1)))
-    edited = begun.join(edges, "node").select("word", "letters", F.concat("node", "label").alias("node"), "ends", F.explode(moves).alias("position"))
+    edited = _join(begun, edges, "node").select("word", "letters", F.concat("node", "label").alias("node"), "ends", F.explode(moves).alias("position"))
     together = (F.col("position") == size) & F.col("ends")
     tables = []
     states = edited.where((F.col("position") < size) | together)
@@ -109,7 +118,7 @@ def _go_down(states: DataFrame, edges: DataFrame) -> DataFrame:
     on_way = F.col("position") < size
     # A pair has no next code point and so meets no edge.
     asked = states.withColumn("first", F.when(on_way, F.substring("letters", F.col("position") + 1, F.lit(1))))
-    met = asked.join(under, (F.col("node") == F.col("_node")) & (F.col("first") == F.col("_first")), "left")
+    met = _join(asked, under, (F.col("node") == F.col("_node")) & (F.col("first") == F.col("_first")), "left")
     follows = F.substring("letters", F.col("position") + 1, span) == F.col("label")
     moved = met.where(~on_way | follows).select(
         "word",
@@ -132,14 +141,14 @@ def spelling_variants(vocabulary: DataFrame, ratio: float = 5) -> DataFrame:
         raise ValueError("ratio must be more than 1")
     counts = materialize(vocabulary.select("word", "n").where("word is not null"), "variants-counts")
     pairs = near_words(counts)
-    near = pairs.join(counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    near = _join(pairs, counts.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
     best = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best"))
-    named = counts.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "best")
+    named = _join(counts, best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), "best")
     is_form = -F.col("best.less") >= F.col("n") * F.lit(ratio)
     named = named.select("word", "n", "n_near", F.when(is_form, F.col("best.near")).alias("form"), F.when(is_form, -F.col("best.less")).alias("form_n"))
     named = materialize(named, "variants-forms")
     roots = forms_to_roots(named.where("form is not null").select("word", "form"))
-    found = named.join(roots, "word", "left")
+    found = _join(named, roots, "word", "left")
     return found.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -148,7 +157,7 @@ def forms_to_roots(forms: DataFrame) -> DataFrame:
     reached = materialize(forms.select("word", F.col("form").alias("root")), "variants-roots")
     while True:
         further = reached.select(F.col("word").alias("root"), F.col("root").alias("beyond"))
-        if reached.join(further, "root", "left_semi").isEmpty():
+        if _join(reached, further, "root", "left_semi").isEmpty():
             return reached
-        stepped = reached.join(further, "root", "left").select("word", F.coalesce("beyond", "root").alias("root"))
+        stepped = _join(reached, further, "root", "left").select("word", F.coalesce("beyond", "root").alias("root"))
         reached = materialize(stepped, "variants-roots")

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tallyloom.llm import spelling_variants as variants
 from tallyloom.llm.exact_fill import pack_best_fit, plan_sequences, token_pieces
 from tallyloom.llm.periodic_runs import SquareCatcher, find_runs, periodic_runs
 from tallyloom.llm.queries import op11_exact_fill, op12_spelling_variants, op13_periodic_runs
@@ -133,6 +134,18 @@ def test_forms_and_roots(spark):
     assert spelling_variants(spark.createDataFrame([], "word string, n long")).count() == 0
 
 
+def test_tables_of_words_are_never_broadcast(spark, monkeypatch):
+    plans = []
+    told = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df
+    written = variants.materialize
+    monkeypatch.setattr(variants, "materialize", lambda df, name: written(told(df), name))
+    counts = [("letter", 1000), ("leter", 200), ("lettr", 200), ("lette", 40), ("other", 5)]
+    told(spelling_variants(spark.createDataFrame(counts, "word string, n long"))).collect()
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    # However small the files are that Spark sizes the tables by: an explode makes many rows of one.
+    assert len(joins) >= 8 and not [line for line in joins if "SortMergeJoin" not in line]
+
+
 def test_variants_query_against_all_pairs(spark, tmp_path):
     rng = random.Random(5)
     stems = ["".join(rng.choices("abcdeéÀß", k=rng.randint(5, 9))) for _ in range(12)]
