@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import random
 import shutil
+import time as clock
 from pathlib import Path
 
 import pytest
@@ -120,6 +121,31 @@ def test_waiting_reports_are_in_built_in_state_and_refusals_are_told(spark):
     assert states == {"a": ("Cancelled", ["rejected CheckedIn"] * 2), "b": (None, ["rejected Asleep"])}
 
 
+def test_workflow_stream_leaves_neither_shuffles_nor_old_versions_and_goes_on(spark):
+    store = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {path for path in store.getAllFiles().mkString("|").split("|") if "/shuffle_" in path}
+    rng = random.Random(8)
+    path, target, checkpoint = (scratch_path(spark, name) for name in ("reports", "wf", "ck"))
+    reports = []
+    for number in range(8):
+        time = lambda: NEW_YEAR + dt.timedelta(days=number, minutes=rng.randrange(1400))
+        some = [(str(rng.randrange(30)), "p", rng.choice([*workflow.WORKFLOW_STATUSES[:6], "Asleep", None]), time()) for _ in range(60)]
+        reports += some
+        spark.createDataFrame([*some, *[(None, None, None, NEW_YEAR + dt.timedelta(days=60))][: number == 7]], REPORTS).coalesce(1).write.parquet(f"{path}/{number}")
+        if number in (4, 7):  # the second run goes on from the checkpoint of the first
+            before = shuffles()
+            stream = file_stream(spark, f"{path}/*", spark.createDataFrame([], REPORTS).schema, 1)
+            appointments.workflow_stream(stream, target, checkpoint, "3 days").awaitTermination()
+            for _ in range(50):  # files go in the background
+                if not shuffles() - before:
+                    break
+                clock.sleep(0.2)
+            assert not shuffles() - before
+    assert len([name for name in os.listdir(f"{checkpoint}/commits".removeprefix("file:")) if name.isdigit()]) <= 3
+    expected = {r["appointment_id"]: r for r in workflow.workflow_states(spark.createDataFrame(reports, REPORTS)).collect()}
+    assert {r["appointment_id"]: r for r in appointments.stored_workflow_states(spark, target).collect()} == expected
+
+
 def test_files_and_micro_batches_of_a_stream_are_bounded():
     for rows in (0, 5, 300_000, 9_000_000, 54_000_000):
         files, taken = files_of(rows)

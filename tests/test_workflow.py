@@ -101,6 +101,25 @@ def walk(reports):
     return patient, status, [times.get(stage) for stage in workflow.STAGE_TIMES], sorted(notes)
 
 
+def test_dealt_out_appointments_are_walked_alike(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None, *map(str, range(900))][: rng.choice([3, 903])]), "p", rng.choice([*workflow.WORKFLOW_STATUSES[:6], None]), at(rng.randrange(90))) for _ in range(4000)]
+    table = spark.createDataFrame(rows, "appointment_id string, patient_id string, status string, event_time timestamp_ntz")
+    listed = lambda: sorted(map(str, workflow.workflow_states(table).collect()))
+    together = listed()
+    monkeypatch.setattr(workflow, "HOT_LEAST", 0)
+    assert listed() == together
+
+
+def test_a_walk_shuffles_states_and_reports_once(spark):
+    rows = [(str(i), "p", status, at(minute)) for i in range(600) for minute, status in enumerate(["CheckedIn", "Asleep"])]
+    table = spark.createDataFrame(rows, "appointment_id string, patient_id string, status string, event_time timestamp_ntz")
+    refused = workflow.workflow_refusals(table)
+    plan = refused._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 + 6 and "BroadcastHashJoin" not in plan
+    assert refused.count() == 600
+
+
 def test_states_are_those_of_a_walk_with_a_hot_appointment(spark):
     rng = random.Random(4)
     rows = []
